@@ -340,7 +340,7 @@ def _hist(arr: str, k: int, convert, fallback: Column, have: set) -> Column:
         return fallback
     a = F.col(arr)
     ok = F.coalesce(F.size(a) >= k, F.lit(False))
-    return F.when(ok, convert(F.element_at(a, -k))).otherwise(fallback)
+    return F.when(ok, convert(F.try_element_at(a, F.lit(-k)))).otherwise(fallback)
 
 
 def request_features(df: DataFrame) -> DataFrame:
