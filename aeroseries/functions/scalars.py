@@ -169,7 +169,9 @@ def season_progress(doy: Column, start: int) -> Column:
 
 # G17 ------------------------------------------------------------------------
 def gdd_trigger(gdd_cumsum: Column, level: float) -> Column:
-    return flag(gdd_cumsum > level)
+    """Running GDD above ``level``.  The sum is compared at 1e-9 so the flag
+    does not depend on the order in which partial sums were added."""
+    return flag(F.round(gdd_cumsum, 9) > level)
 
 
 # G18 ------------------------------------------------------------------------

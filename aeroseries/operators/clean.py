@@ -107,12 +107,30 @@ def fill_tavg(df: DataFrame) -> DataFrame:
     })
 
 
-def clean_weather(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """The cleaning sequence: temperatures, TAVG fill, wind, precipitation."""
-    df = fix_temperature_unit(df, by=by)
+def clean_weather(df: DataFrame, by: Sequence[str] = (), temp_threshold: float = 30.0,
+                  wind_threshold: float = 20.0, precip_threshold: float = 20.0) -> DataFrame:
+    """The cleaning sequence: temperatures, TAVG fill, wind, precipitation.
+
+    Every unit rule looks at its own raw column, so all statistics come from
+    one aggregate pass attached once (not one pass per rule)."""
+    temps, winds = available(df, TEMPERATURE_VARS), available(df, WIND_VARS)
+    has_p = "PRCP" in df.columns
+    stats = {f"__s_{c}": F.avg(c) for c in temps + winds}
+    if has_p:
+        stats["__s_PRCP"] = F.max("PRCP")
+    if not stats:
+        return fill_tavg(df)
+    df = attach_stats(df, stats, by)
+
+    def conv(c, test, fn):
+        return F.when(F.coalesce(test(F.col(f"__s_{c}")), F.lit(False)), fn(F.col(c))).otherwise(F.col(c))
+
+    df = df.withColumns({c: conv(c, lambda m: m > temp_threshold, S.f_to_c) for c in temps})
     df = fill_tavg(df)
-    df = fix_wind_unit(df, by=by)
-    return fix_precip_unit(df, by=by)
+    upd = {c: conv(c, lambda m: m > wind_threshold, S.mph_to_ms) for c in winds}
+    if has_p:
+        upd["PRCP"] = conv("PRCP", lambda m: m < precip_threshold, S.inch_to_mm)
+    return df.withColumns(upd).drop(*stats.keys())
 
 
 # B8 ---------------------------------------------------------------------------

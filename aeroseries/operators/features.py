@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
 from aeroseries.operators import windows as W
-from aeroseries.operators.profile import upper_quartile_flag
+from aeroseries.operators.profile import upper_quartile_flag, upper_quartile_flags
 
 SITE = ("site_id",)
 POLLEN_TYPES = ["Tree", "Grass", "Weed", "Ragweed", "Total_Pollen"]
@@ -170,8 +170,7 @@ def weather_only_features(df: DataFrame, partition_by=SITE, quantile_by: Sequenc
         "GDD": S.gdd(tavg, 5.0),
         **_peak_days(doy, with_progress=True),
     })
-    df = upper_quartile_flag(df, "PRCP", "Is_Heavy_Rain", by=quantile_by)
-    df = upper_quartile_flag(df, "AWND", "High_Wind", by=quantile_by)
+    df = upper_quartile_flags(df, {"PRCP": "Is_Heavy_Rain", "AWND": "High_Wind"}, by=quantile_by)
     new = {
         "TAVG_30d_mean": W.rolling_mean("TAVG", 30, **p),
         "TAVG_change": W.diff("TAVG", **p),

@@ -155,13 +155,16 @@ def month_counts(df: DataFrame, date_col: str = "date", by: Sequence[str] = ())
 # D11 --------------------------------------------------------------------------
 def correlations(df: DataFrame, target: str = "Total_Pollen", cols: Sequence[str] = WEATHER_VARS,
                  by: Sequence[str] = ()) -> DataFrame:
-    """Pearson correlation of each variable with ``target``, pairwise complete."""
+    """Pearson correlation of each variable with ``target``, pairwise complete;
+    null when either side is constant in the group."""
     cols = _present(df, cols)
     tgt = F.col(target)
     aggs = []
     for c in cols:
         both = F.col(c).isNotNull() & tgt.isNotNull()
-        aggs.append(F.corr(F.when(both, F.col(c)), F.when(both, tgt)).alias(c))
+        x, y = F.when(both, F.col(c)), F.when(both, tgt)
+        # ANSI-safe Pearson: null (not an error) when a side has no variance.
+        aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(c))
     g = df.groupBy(*by).agg(*aggs)
     return g.unpivot(list(by), cols, "variable", "corr")
 
@@ -227,6 +230,15 @@ def upper_quartile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
     return j.withColumn(out, S.flag(F.col(col) > F.col("__q"))).drop("__q")
 
 
+def upper_quartile_flags(df: DataFrame, flags: dict[str, str], q: float = 0.75,
+                         by: Sequence[str] = ()) -> DataFrame:
+    """Several D17 flags (``{column: output}``) from one aggregate pass."""
+    qt = df.groupBy(*by).agg(*[F.percentile(F.col(c), F.lit(q)).alias(f"__q_{c}") for c in flags])
+    j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
+    return j.withColumns({o: S.flag(F.col(c) > F.col(f"__q_{c}")) for c, o in flags.items()}) \
+        .drop(*[f"__q_{c}" for c in flags])
+
+
 # D24 --------------------------------------------------------------------------
 def distribution_histogram(df: DataFrame, cols: Sequence[str] = ("actual", "predicted"),
                            bins: int = 11, by: Sequence[str] = ()) -> DataFrame:

@@ -118,7 +118,7 @@ FROM (SELECT *, {DOY} AS Day_of_Year, {Q.weekday('date')} AS Day_of_Week,
 _H3_S2 = f"""
 SELECT *, TAVG - TAVG_30d_mean AS Temp_Anomaly,
        stddev_samp(TAVG_change) OVER {Q.rows(7)} AS Temp_Volatility_7d,
-       {', '.join(f"{Q.flag(f'GDD_cumsum > {v}')} AS GDD_cumsum_above_{v}" for v in (100, 200, 500))},
+       {', '.join(f"{Q.flag(f'round(GDD_cumsum, 9) > {v}')} AS GDD_cumsum_above_{v}" for v in (100, 200, 500))},
        GDD_cumsum * In_Tree_Season AS GDD_x_Tree_Season, GDD_cumsum * In_Grass_Season AS GDD_x_Grass_Season,
        GDD_cumsum * In_Ragweed_Season AS GDD_x_Ragweed_Season,
        TAVG * In_Tree_Season AS Temp_x_Tree_Season, TAVG * In_Grass_Season AS Temp_x_Grass_Season,

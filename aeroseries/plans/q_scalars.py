@@ -76,7 +76,7 @@ def _phen_sql():
     cols.append(f"TAVG * {Q.flag('month(date) IN (3, 4, 5)')} AS Temp_x_Spring")
     cols.append("PRCP * AWND AS Rain_x_Wind")
     for lvl in (100, 200, 500):
-        cols.append(f"{Q.flag(f'GDD_cumsum > {lvl}')} AS GDD_cumsum_above_{lvl}")
+        cols.append(f"{Q.flag(f'round(GDD_cumsum, 9) > {lvl}')} AS GDD_cumsum_above_{lvl}")
     return f"""
 SELECT site_id, date, {', '.join(cols)} FROM (
   SELECT *, {Q.cumsum_within(Q.gdd('TAVG', 5), 'site_id, year(date)')} AS GDD_cumsum FROM weather_site) t"""
