@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 # F1 ---------------------------------------------------------------------------
 def time_order(df: DataFrame, partition_by: Sequence[str] = ("site_id",), order_by: str = "date",
                global_sort: bool = False) -> DataFrame:
-    """Order rows by date within each site's partition (no global sort unless
-    asked, e.g. for a final ordered output)."""
+    """Rows clustered by site and ordered by date inside each partition; range
+    partitioning on (site, date) splits a hot site over several tasks.  A
+    global sort only when asked (final ordered output)."""
     if global_sort:
         return df.orderBy(*partition_by, order_by)
-    return df.repartition(*partition_by).sortWithinPartitions(*partition_by, order_by)
+    return df.repartitionByRange(*partition_by, order_by).sortWithinPartitions(*partition_by, order_by)
 
 
 # F2 ---------------------------------------------------------------------------

@@ -75,16 +75,20 @@ def _predict(features: DataFrame, model, names: Sequence[str] | None, keep: Sequ
 
 # J1 ---------------------------------------------------------------------------
 def score_daily(requests: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None,
-                keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+                keys: Sequence[str] = ("request_id", "pos"), with_inputs: bool = False) -> DataFrame:
     """Valid requests -> features -> predict -> clip [0, 10] -> score rounded to
-    2, level and advice from the unrounded score, confidence 0.87."""
+    2, level and advice from the unrounded score, confidence 0.87.
+    ``with_inputs`` keeps the filled request temperature (``temp_avg_f``) for
+    the seasonal allocation, so it needs no join back to the requests."""
     v = validate_requests(requests).filter("is_valid")
     f = request_features(v)
-    p = _predict(f, model, feature_names, keep=[*keys, "date"])
+    p = _predict(f, model, feature_names, keep=[*keys, "date", "temp_avg_f"])
     s = S.clip(F.col("prediction"), 0, 10)
-    return p.select(*keys, "date", F.round(s, 2).alias("severity_score"), s.alias("raw_score"),
-                    S.severity_level(s).alias("severity_level"),
-                    F.lit(DAILY_CONFIDENCE).alias("confidence"), S.recommendation(s).alias("recommendation"))
+    out = p.select(*keys, "date", F.round(s, 2).alias("severity_score"), s.alias("raw_score"),
+                   S.severity_level(s).alias("severity_level"),
+                   F.lit(DAILY_CONFIDENCE).alias("confidence"), S.recommendation(s).alias("recommendation"),
+                   "temp_avg_f")
+    return out.drop("temp_avg_f") if not with_inputs else out
 
 
 # J2 ---------------------------------------------------------------------------
@@ -135,14 +139,14 @@ def score_allergens(requests: DataFrame, models: dict[str, object],
 
 
 # J5 ---------------------------------------------------------------------------
-def allocate_by_season(daily: DataFrame, requests: DataFrame,
-                       keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+def allocate_by_season(daily: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
     """Without allergen models: the day's severity split by the month's shares
-    times a temperature factor (> 75 F: 1.2, < 50 F: 0.7).  Long form like J4,
-    ``idx`` in the order tree, grass, ragweed, weed."""
-    r = requests.select(*keys, F.coalesce(F.col("temp_avg"), (F.col("temp_max") + F.col("temp_min")) / 2,
-                                          F.lit(65.0)).alias("__t"))
-    d = daily.select(*keys, "date", "raw_score").join(r, list(keys))
+    times a temperature factor (> 75 F: 1.2, < 50 F: 0.7) of the request's
+    (filled) average temperature, 65 F when unknown.  ``daily`` comes from
+    ``score_daily(..., with_inputs=True)``.  Long form like J4, ``idx`` in the
+    order tree, grass, ragweed, weed."""
+    d = daily.select(*keys, "date", "raw_score",
+                     F.coalesce(F.col("temp_avg_f"), F.lit(65.0)).alias("__t"))
     m = F.month("date")
     factor = F.when(F.col("__t") > 75, 1.2).when(F.col("__t") < 50, 0.7).otherwise(1.0)
     share_arr = None

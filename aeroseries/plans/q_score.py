@@ -131,8 +131,7 @@ _ALLOC = ("alloc", _alloc_sql())
 
 @query("allocate_by_season", "J5", with_views("SELECT * FROM alloc", "requests", extra=[_SCORED, _ALLOC]))
 def q_alloc(spark, sf_dir):
-    r = FX.requests(spark, sf_dir)
-    return J.allocate_by_season(J.score_daily(r), r)
+    return J.allocate_by_season(J.score_daily(FX.requests(spark, sf_dir), with_inputs=True))
 
 
 # J6 ---------------------------------------------------------------------------
@@ -153,8 +152,8 @@ FROM alloc""")
 @query("allergen_breakdown", "J6", with_views("SELECT * FROM breakdown", "requests",
                                               extra=[_SCORED, _ALLOC, _BREAKDOWN]))
 def q_breakdown(spark, sf_dir):
-    r = FX.requests(spark, sf_dir)
-    return J.allergen_breakdown(J.allocate_by_season(J.score_daily(r), r))
+    daily = J.score_daily(FX.requests(spark, sf_dir), with_inputs=True)
+    return J.allergen_breakdown(J.allocate_by_season(daily))
 
 
 # J7 ---------------------------------------------------------------------------
@@ -224,6 +223,6 @@ FROM ({_daily_sql()}) d
 LEFT JOIN (SELECT DISTINCT request_id, pos, total_severity, primary_allergen, alert_level FROM breakdown) b
 ON d.request_id = b.request_id AND d.pos = b.pos""", "requests", extra=[_SCORED, _ALLOC, _BREAKDOWN]))
 def q_full_report(spark, sf_dir):
-    r = FX.requests(spark, sf_dir)
-    daily = J.score_daily(r)
-    return J.full_report(daily, J.allergen_breakdown(J.allocate_by_season(daily, r)))
+    daily = J.score_daily(FX.requests(spark, sf_dir), with_inputs=True)
+    report = J.full_report(daily, J.allergen_breakdown(J.allocate_by_season(daily)))
+    return report.drop("temp_avg_f")

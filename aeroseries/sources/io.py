@@ -69,8 +69,10 @@ def date_range(df: DataFrame, date_col: str = "date", by: Sequence[str] = ()) ->
 def write_daily(df: DataFrame, path: str, fmt: str = "parquet", site: Sequence[str] = ("site_id",),
                 date_col: str = "date", partition_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Cluster by site, sort by date within each file, write (optionally
-    partitioned into folders, e.g. by year)."""
-    out = df.repartition(*site).sortWithinPartitions(*site, date_col) if site else df.sortWithinPartitions(date_col)
+    partitioned into folders, e.g. by year).  Range partitioning on
+    (site, date) splits a hot site into date ranges across tasks instead of
+    sending all its rows to one writer."""
+    out = (df.repartitionByRange(*site, date_col) if site else df).sortWithinPartitions(*site, date_col)
     w = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
