@@ -53,7 +53,7 @@ SELECT STATION, NAME, DATE, TMAX, TMIN, TAVG, PRCP, AWND, WSF2, WSF5, TAVG_calcu
 ) c""", "weather_raw")
 
 
-@query("clean_select_key_variables", "B2", _CLEAN_SQL)
+@query("clean_select_key_variables", "B2,B4,B5,B6,B7", _CLEAN_SQL)
 def q_clean_select(spark, sf_dir):
     return B.select_key_variables(B.clean_weather(FX.weather_raw(spark, sf_dir)))
 
@@ -274,7 +274,7 @@ def q_right_only(spark, sf_dir):
     return C.right_only_dates(FX.pollen(spark, sf_dir), FX.weather_site(spark, sf_dir))
 
 
-@query("date_set_counts", "C4", with_views("""
+@query("date_set_counts", "C3,C4,C5", with_views("""
 SELECT coalesce(a.site_id, b.site_id) AS site_id,
        count_if(a.date IS NOT NULL AND b.date IS NOT NULL) AS common,
        count_if(a.date IS NOT NULL AND b.date IS NULL) AS left_only,

@@ -39,7 +39,7 @@ for _name, _op in [("weather_raw", "A1"), ("pollen", "A2"), ("joined", "A3")]:
         return FX.view(spark, sf_dir, _n)
     query(f"read_{_name}", _op, with_views(f"SELECT * FROM {_name}", _name))(_scan)
 
-query("fixture_weather_site", "D7", with_views("SELECT * FROM weather_site", "weather_site"))(
+query("fixture_weather_site", "D7,B4,B6", with_views("SELECT * FROM weather_site", "weather_site"))(
     lambda spark, sf_dir: FX.weather_site(spark, sf_dir))
 query("fixture_requests", "E22", with_views("SELECT * FROM requests", "requests"))(
     lambda spark, sf_dir: FX.requests(spark, sf_dir))

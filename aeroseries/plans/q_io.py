@@ -39,7 +39,7 @@ def _rec_sql():
     return with_views("\nUNION ALL ".join(parts), "weather_raw")
 
 
-@query("write_and_reconcile", "A9", _rec_sql())
+@query("write_and_reconcile", "A1,A5,A9", _rec_sql())
 def q_write_reconcile(spark, sf_dir):
     src = FX.weather_raw(spark, sf_dir)
     out = scratch_path(spark, "a5-daily")
@@ -49,7 +49,7 @@ def q_write_reconcile(spark, sf_dir):
 
 
 # A7 + A6 + G29 ----------------------------------------------------------------
-@query("metric_documents", "A6", with_views("""
+@query("metric_documents", "A6,A7,G29", with_views("""
 SELECT model, mae, rmse, r2, CASE WHEN model LIKE 'Rolling%' THEN acc_within_1 END AS acc_within_1
 FROM models WHERE mae IS NOT NULL AND mae <> 0 AND r2 IS NOT NULL AND r2 <> 0""",
     "model_predictions", extra=[("models", metrics_sql("model_predictions", ["model"]))]))
@@ -131,3 +131,25 @@ def q_sql_functions(spark, sf_dir):
                severity_level(severity_biological(Total_Pollen, 'Total_Pollen')) AS total_level,
                season(month(date)) AS season
         FROM aeroseries_joined""")
+
+
+# A2 ---------------------------------------------------------------------------
+@query("read_pollen_csv", "A2,A5", with_views(
+    "SELECT site_id, Total_Pollen, Tree, Grass, Weed, Ragweed, date FROM pollen", "pollen"))
+def q_read_pollen_csv(spark, sf_dir):
+    p = FX.pollen(spark, sf_dir).select(
+        F.col("site_id").cast("int").alias("site_id"), F.date_format("date", "yyyy-MM-dd").alias("Date_Standard"),
+        "Total_Pollen", "Tree", "Grass", "Weed", "Ragweed")
+    path = scratch_path(spark, "a2-pollen")
+    IO.write_daily(p, path, fmt="csv", date_col="Date_Standard")
+    return IO.read_pollen(spark, path, with_site=True, date_format="yyyy-MM-dd")
+
+
+# A3 ---------------------------------------------------------------------------
+@query("read_joined_written", "A3,A5", with_views(
+    "SELECT *, year(date) AS year FROM joined", "joined"))
+def q_read_joined_written(spark, sf_dir):
+    j = FX.joined(spark, sf_dir).withColumn("year", F.year("date"))
+    path = scratch_path(spark, "a3-joined")
+    IO.write_daily(j, path, fmt="parquet", partition_cols=("year",))
+    return IO.read_joined(spark, path)

@@ -87,7 +87,7 @@ def q_folds(spark, sf_dir):
 
 
 # I17 --------------------------------------------------------------------------
-@query("split_summary", "I17", with_views(f"""
+@query("split_summary", "I17,I2", with_views(f"""
 SELECT site_id, role, count(*) AS rows, min(date) AS first_date, max(date) AS last_date,
        min(sev) AS label_min, max(sev) AS label_max, avg(sev) AS label_mean
 FROM (SELECT site_id, date, {Q.severity_biological('Total_Pollen', 'Total_Pollen')} AS sev,
@@ -169,7 +169,7 @@ def q_train_all(spark, sf_dir):
     return out
 
 
-@query("top_features", "F2")
+@query("top_features", "F2,I5")
 def q_top_features(spark, sf_dir):
     df, cols = _frame(spark, sf_dir)
     m = ML.fit(df.filter(F.col("role") == "train"), cols, TOTAL, "small_rf")
@@ -193,14 +193,14 @@ def _regimes(spark, sf_dir):
     return full, wonly, te, cols, weather
 
 
-@query("evaluate_without_history", "I13")
+@query("evaluate_without_history", "I13,B14,D20")
 def q_without_history(spark, sf_dir):
     full, _, te, cols, _ = _regimes(spark, sf_dir)
     per_type, _ = EV.evaluate_without_history(full, te, cols)
     return per_type
 
 
-@query("compare_training_regimes", "I14")
+@query("compare_training_regimes", "I14,C7,D23")
 def q_compare_training(spark, sf_dir):
     full, wonly, te, cols, weather = _regimes(spark, sf_dir)
     a, _ = EV.evaluate_without_history(full, te, cols)
@@ -215,7 +215,7 @@ def _coverage_sql():
     return with_views("\nUNION ALL ".join(parts), "joined", extra=[("h4", _H4)])
 
 
-@query("feature_coverage", "I15", _coverage_sql())
+@query("feature_coverage", "I15,B14", _coverage_sql())
 def q_coverage(spark, sf_dir):
     f = H.build(FX.joined(spark, sf_dir), "refined")
     return EV.feature_coverage(f, H.H4_COLUMNS)

@@ -195,7 +195,7 @@ SELECT j.site_id, j.date, j.Total_Pollen, {_CASE} AS Pollen_Severity
 FROM joined j LEFT JOIN (SELECT site_id, {_THR} FROM joined GROUP BY site_id) t ON j.site_id = t.site_id""")
 
 
-@query("percentile_severity", "G18", with_views(
+@query("percentile_severity", "D15,G18", with_views(
     "SELECT site_id, date, Total_Pollen, Pollen_Severity FROM labeled", "joined", extra=[_LABELED]))
 def q_percentile_severity(spark, sf_dir):
     j = FX.joined(spark, sf_dir).select("site_id", "date", "Total_Pollen")
@@ -301,7 +301,7 @@ def _models(spark, sf_dir):
     return M.metrics_full(FX.model_predictions(spark, sf_dir), by=("model",))
 
 
-@query("model_metrics", "D18", with_views("SELECT * FROM models", "model_predictions", extra=[_MODELS]))
+@query("model_metrics", "D18,A6", with_views("SELECT * FROM models", "model_predictions", extra=[_MODELS]))
 def q_model_metrics(spark, sf_dir):
     return _models(spark, sf_dir)
 

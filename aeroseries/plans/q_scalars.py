@@ -18,7 +18,7 @@ _ds, _dc = Q.cyc("dayofyear(date)", 365)
 
 
 # G1-G3 ------------------------------------------------------------------------
-@query("calendar_cyclical_season", "G1", with_views(f"""
+@query("calendar_cyclical_season", "G1,G2,G3", with_views(f"""
 SELECT site_id, date, year(date) AS Year, month(date) AS Month, dayofyear(date) AS Day_of_Year,
        {Q.weekday('date')} AS Day_of_Week, weekofyear(date) AS Week_of_Year,
        {_ms} AS Month_sin, {_mc} AS Month_cos, {_ds} AS DOY_sin, {_dc} AS DOY_cos,
@@ -35,7 +35,7 @@ def q_calendar(spark, sf_dir):
 
 
 # G4-G11 -----------------------------------------------------------------------
-@query("weather_scalars", "G6", with_views(f"""
+@query("weather_scalars", "G4,G5,G6,G7,G8,G9,G10,G11", with_views(f"""
 SELECT site_id, date, TMAX - TMIN AS Temp_Range, {Q.flag('PRCP > 0')} AS Is_Rainy,
        {Q.rain_intensity('PRCP')} AS Rain_Intensity,
        {Q.flag(Q.rain_intensity('PRCP') + ' = 1')} AS Rain_Light,
@@ -82,7 +82,7 @@ SELECT site_id, date, {', '.join(cols)} FROM (
   SELECT *, {Q.cumsum_within(Q.gdd('TAVG', 5), 'site_id, year(date)')} AS GDD_cumsum FROM weather_site) t"""
 
 
-@query("phenology", "G12", with_views(_phen_sql(), "weather_site"))
+@query("phenology", "G12,G13,G14,G15,G16,G17", with_views(_phen_sql(), "weather_site"))
 def q_phenology(spark, sf_dir):
     w = FX.weather_site(spark, sf_dir).withColumn("GDD", S.gdd(F.col("TAVG"), 5))
     w = w.withColumn("GDD_cumsum", W.ytd_cumsum("GDD"))
@@ -122,7 +122,7 @@ def _sev_sql():
     return f"SELECT site_id, date, {', '.join(cols)} FROM pollen"
 
 
-@query("severity_scales", "G19", with_views(_sev_sql(), "pollen"))
+@query("severity_scales", "G19,G20,G21,G22,G23,G24,G26", with_views(_sev_sql(), "pollen"))
 def q_severity(spark, sf_dir):
     p = FX.pollen(spark, sf_dir)
     cols = [S.severity_biological(F.col(t), t).alias(f"{t}_Severity") for t in _TYPES]
@@ -162,7 +162,7 @@ _SEAS_T = "CASE " + " ".join(f"WHEN month(date) = {m} THEN {float(t)!r}"
                              for m, t in S.SEASONAL_TEMPERATURE_F.items()) + " ELSE 60.0E0 END"
 
 
-@query("request_units", "G27", with_views(f"""
+@query("request_units", "G27,G28,G30", with_views(f"""
 SELECT request_id, pos, {Q.f_to_c('temp_max')} AS temp_max_c, precipitation * 25.4E0 AS precipitation_mm,
        wind_speed * 0.44704E0 AS wind_ms, wind_speed * 1.609E0 AS wind_kmh,
        CASE WHEN precipitation > 0 THEN 0 WHEN month(date) IN (6, 7, 8) THEN 3

@@ -217,7 +217,7 @@ def q_sparse_history(spark, sf_dir):
 
 
 # J10 --------------------------------------------------------------------------
-@query("full_report", "J10", with_views(f"""
+@query("full_report", "J10,J5,J6", with_views(f"""
 SELECT d.*, b.total_severity, b.primary_allergen, b.alert_level
 FROM ({_daily_sql()}) d
 LEFT JOIN (SELECT DISTINCT request_id, pos, total_severity, primary_allergen, alert_level FROM breakdown) b

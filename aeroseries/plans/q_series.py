@@ -32,7 +32,7 @@ def q_lags(spark, sf_dir):
 
 
 # E2, E3, E5, E9 -----------------------------------------------------------------
-@query("rolling_stats", "E2", with_views(f"""
+@query("rolling_stats", "E2,E3,E5,E9", with_views(f"""
 SELECT site_id, date,
        {Q.rolling_mean('TAVG', 7)} AS tavg_mean_7, {Q.rolling_mean('TAVG', 30)} AS tavg_mean_30,
        {Q.rolling_sum('PRCP', 3)} AS prcp_sum_3, {Q.rolling_sum('PRCP', 14)} AS prcp_sum_14,
@@ -56,7 +56,7 @@ def q_rolling_strict(spark, sf_dir):
 
 
 # E6-E8 ------------------------------------------------------------------------
-@query("diff_volatility_anomaly", "E7", with_views(f"""
+@query("diff_volatility_anomaly", "E6,E7,E8", with_views(f"""
 SELECT site_id, date, chg AS TAVG_change, stddev_samp(chg) OVER {Q.rows(7)} AS volatility_7,
        TAVG - {Q.rolling_mean('TAVG', 30)} AS anomaly_30, TAVG - {Q.rolling_mean('TAVG', 30, 7)} AS anomaly_30_min7
 FROM (SELECT *, TAVG - {Q.lag('TAVG', 1)} AS chg FROM weather_site) t""", *WS))
@@ -73,7 +73,7 @@ _RANK_HITS = " + ".join(
        for k in range(1, 30)])
 
 
-@query("share_and_rank", "E11", with_views(f"""
+@query("share_and_rank", "E10,E11", with_views(f"""
 SELECT site_id, date,
        CASE WHEN max(AWND) OVER {Q.rows(30)} > 0 THEN AWND / max(AWND) OVER {Q.rows(30)} * 100
             WHEN max(AWND) OVER {Q.rows(30)} IS NOT NULL THEN 0.0E0 END AS AWND_30d_pct,
@@ -87,7 +87,7 @@ def q_share_rank(spark, sf_dir):
 
 
 # E12-E14 ----------------------------------------------------------------------
-@query("running_sums", "E12", with_views(f"""
+@query("running_sums", "E12,E13,E14", with_views(f"""
 SELECT site_id, date,
        {Q.cumsum_within('PRCP', 'site_id, year(date)')} AS PRCP_YTD,
        {Q.cumsum_within('PRCP', 'site_id, year(date), ' + Q.season('month(date)'))} AS PRCP_season,

@@ -48,8 +48,13 @@ def read_station_weather(spark: SparkSession, path: str, fmt: str = "csv") -> Da
 
 
 # A2 ---------------------------------------------------------------------------
-def read_pollen(spark: SparkSession, path: str, fmt: str = "csv", date_format: str | None = None) -> DataFrame:
-    df = _reader(spark, path, fmt, POLLEN_SCHEMA)
+def read_pollen(spark: SparkSession, path: str, fmt: str = "csv", date_format: str | None = None,
+                with_site: bool = False) -> DataFrame:
+    """Daily pollen counts; ``Date_Standard`` parsed to ``date``.  Multi-site
+    files carry a leading ``site_id`` column (``with_site``)."""
+    schema = (T.StructType([T.StructField("site_id", T.IntegerType())] + POLLEN_SCHEMA.fields)
+              if with_site else POLLEN_SCHEMA)
+    df = _reader(spark, path, fmt, schema)
     d = F.col("Date_Standard")
     return df.withColumn("date", F.to_date(d, date_format) if date_format else F.to_date(d)).drop("Date_Standard")
 
