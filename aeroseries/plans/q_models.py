@@ -184,8 +184,14 @@ def q_residuals(spark, sf_dir):
 
 
 def _regimes(spark, sf_dir):
-    df, cols = _frame(spark, sf_dir, "refined")
-    tr = df.filter(F.col("role") == "train")
+    """Train on complete rows of the first 80% per site; the test tail is cut
+    before dropping incomplete rows (only weather inputs and the label are
+    required there), as in the original weather-only evaluation."""
+    fn, cols = H.FEATURE_SETS["refined"]
+    cols = list(cols)
+    f = fn(_labeled(spark, sf_dir)).select("site_id", "date", *cols, *LABELS)
+    df = cut_lineage(SP.split_positional(f, 0.8))
+    tr = df.filter(F.col("role") == "train").na.drop(subset=cols)
     te = df.filter(F.col("role") == "test")
     weather, _ = EV.classify_features(cols)
     full = {lab: ML.fit(tr.na.drop(subset=[lab]), cols, lab, "small_gbt", maxIter=10) for lab in LABELS}

@@ -38,6 +38,8 @@ SELECT cast(date_trunc('day', ts) AS date) AS day, site_id, metric, avg(value) A
 FROM readings GROUP BY date_trunc('day', ts), site_id, metric
 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM readings) - INTERVAL 1 HOUR""", "readings"))
 def q_stream_agg(spark, sf_dir):
+    # Event-time windows are aligned to UTC days; the readings' wall-clock times are UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     src, sink = K.scratch_path(spark, "k2-src"), K.scratch_path(spark, "k2-sink")
     schema = _feed(FX.readings(spark, sf_dir), src)
     out = K.stream_daily_aggregate(K.file_stream(spark, src, schema))

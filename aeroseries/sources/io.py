@@ -166,6 +166,23 @@ def read_metrics(spark: SparkSession, path: str, names: dict[str, str] | None =
     return norm.filter(F.col("mae").isNotNull() & F.col("r2").isNotNull())
 
 
+def read_multitype_metrics(spark: SparkSession, path: str, model: str,
+                           pollen_type: str = "Total_Pollen") -> DataFrame:
+    """A per-type metrics document ({type: {metrics}}): only ``pollen_type``
+    is comparable with single-target models."""
+    raw = spark.read.option("multiLine", True).json(path)
+    if pollen_type not in raw.columns:
+        return spark.createDataFrame([], "model string, mae double, r2 double")
+    inner = raw.select(F.col(f"{pollen_type}.*"))
+    have = set(inner.columns)
+    cols = [F.lit(model).alias("model")]
+    for out, aliases in METRIC_ALIASES.items():
+        present = [F.col(a).cast("double") for a in aliases if a in have]
+        if present:
+            cols.append(first_truthy(*present).alias(out))
+    return inner.select(*cols).filter(F.col("mae").isNotNull() & F.col("r2").isNotNull())
+
+
 # A8 ---------------------------------------------------------------------------
 def save_model(model: PipelineModel, features: Sequence[str], path: str) -> None:
     model.write().overwrite().save(path)
