@@ -57,7 +57,7 @@ def baseline_features(df: DataFrame, partition_by=SITE, quantile_by: Sequence[st
         "Temp_Range": F.col("TMAX") - F.col("TMIN"), "Is_Rainy": S.is_rainy(F.col("PRCP")),
         "GDD": S.gdd(F.col("TAVG"), 5.0),
     })
-    df = upper_quartile_flag(df, "AWND", "High_Wind", by=quantile_by)
+    df = upper_quartile_flag(df, "AWND", "High_Wind", by=quantile_by, window=True)
     new = {}
     for n in (1, 3, 7):
         new[f"Pollen_lag_{n}"] = W.lag("Total_Pollen", n, **p)
@@ -170,7 +170,7 @@ def weather_only_features(df: DataFrame, partition_by=SITE, quantile_by: Sequenc
         "GDD": S.gdd(tavg, 5.0),
         **_peak_days(doy, with_progress=True),
     })
-    df = upper_quartile_flags(df, {"PRCP": "Is_Heavy_Rain", "AWND": "High_Wind"}, by=quantile_by)
+    df = upper_quartile_flags(df, {"PRCP": "Is_Heavy_Rain", "AWND": "High_Wind"}, by=quantile_by, window=True)
     new = {
         "TAVG_30d_mean": W.rolling_mean("TAVG", 30, **p),
         "TAVG_change": W.diff("TAVG", **p),

@@ -1,9 +1,9 @@
 """Accuracy metrics and model comparison.
 
-Metrics are single-pass conditional aggregates (``groupBy`` partial
-aggregation), so they scale with any number of models, sites or folds; R2 uses
-the group mean from a first aggregate joined back by key (two passes, no
-collect)."""
+Metrics are single-pass conditional aggregates (``groupBy`` with partial
+aggregation), so they scale with any number of models, sites or folds and a
+hot group (one model's rows) is combined map-side; R2 takes its total sum of
+squares from ``var_pop`` in the same pass (no second pass, no join)."""
 
 from __future__ import annotations
 
@@ -15,21 +15,23 @@ from pyspark.sql import functions as F
 from aeroseries.functions.scalars import season
 
 
-def _with_mean(df: DataFrame, y: str, by: Sequence[str]) -> DataFrame:
-    m = df.groupBy(*by).agg(F.avg(y).alias("__ybar"))
-    return df.crossJoin(F.broadcast(m)) if not by else df.join(m, list(by))
+def _r2(y: str, e) -> "F.Column":
+    """1 - SSE / SST with SST = n * var_pop(y): one pass, numerically stable
+    (Welford-style merge) and partially aggregatable, so a hot group is
+    combined map-side; null when y has no variance."""
+    sst = F.var_pop(F.col(y)) * F.count(F.lit(1))
+    return F.lit(1.0) - F.try_divide(F.sum(e * e), F.nullif(sst, F.lit(0.0)))
 
 
 # D14 --------------------------------------------------------------------------
 def metrics_basic(df: DataFrame, y: str = "actual", p: str = "predicted", by: Sequence[str] = ()) -> DataFrame:
-    d = _with_mean(df.filter(F.col(y).isNotNull() & F.col(p).isNotNull()), y, by)
+    d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
     e = F.col(y) - F.col(p)
     return d.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.nullif(F.sum(F.pow(F.col(y) - F.col("__ybar"), 2)),
-                                                          F.lit(0.0)))).alias("r2"))
+        _r2(y, e).alias("r2"))
 
 
 # D18 --------------------------------------------------------------------------
@@ -37,7 +39,7 @@ def metrics_full(df: DataFrame, y: str = "actual", p: str = "predicted", by: Seq
                  high: float = 7.0) -> DataFrame:
     """D14 plus weighted MAE (weight 2 where y >= high), share within 1 and 2
     levels, MAE and count of the y >= high rows (MAE null when there are none)."""
-    d = _with_mean(df.filter(F.col(y).isNotNull() & F.col(p).isNotNull()), y, by)
+    d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
     e = F.col(y) - F.col(p)
     ae = F.abs(e)
     hi = F.col(y) >= high
@@ -45,8 +47,7 @@ def metrics_full(df: DataFrame, y: str = "actual", p: str = "predicted", by: Seq
         F.count(F.lit(1)).alias("n"),
         F.avg(ae).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.nullif(F.sum(F.pow(F.col(y) - F.col("__ybar"), 2)),
-                                                          F.lit(0.0)))).alias("r2"),
+        _r2(y, e).alias("r2"),
         F.avg(ae * F.when(hi, 2.0).otherwise(1.0)).alias("weighted_mae"),
         F.avg((ae <= 1).cast("double")).alias("acc_within_1"),
         F.avg((ae <= 2).cast("double")).alias("acc_within_2"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
@@ -200,8 +200,16 @@ def severity_thresholds(df: DataFrame, col: str = "Total_Pollen", by: Sequence[s
 
 
 def label_percentile_severity(df: DataFrame, col: str = "Total_Pollen", by: Sequence[str] = (),
-                              out: str = "Pollen_Severity", approx: bool = False) -> DataFrame:
-    """G18 with D15 cut points attached per ``by`` group (whole table by default)."""
+                              out: str = "Pollen_Severity", approx: bool = False,
+                              window: bool = False) -> DataFrame:
+    """G18 with D15 cut points attached per ``by`` group (whole table by default).
+    ``window=True`` computes per-group cut points as a window over ``by``
+    (site-day tables: one exchange, no second pass and join)."""
+    if window and by:
+        fr = F.array(*[F.lit(p / 100.0) for p in S.SEVERITY_PERCENTILES])
+        pos = F.when(F.col(col) > 0, F.col(col))
+        thr_w = F.percentile(pos, fr).over(Window.partitionBy(*by))
+        return df.withColumn(out, S.severity_percentile(F.col(col), thr_w))
     thr = severity_thresholds(df, col, by, approx=approx)
     j = df.crossJoin(F.broadcast(thr)) if not by else df.join(thr, list(by), "left")
     return j.withColumn(out, S.severity_percentile(F.col(col), F.col("thresholds"))).drop("thresholds")
@@ -222,8 +230,16 @@ def severity_distribution(df: DataFrame, col: str = "Pollen_Severity", by: Seque
 
 # D17 --------------------------------------------------------------------------
 def upper_quartile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
-                        by: Sequence[str] = (), fit_on: DataFrame | None = None) -> DataFrame:
-    """``col > quantile(col, q)`` over the whole table (or ``fit_on``), null is 0."""
+                        by: Sequence[str] = (), fit_on: DataFrame | None = None,
+                        window: bool = False) -> DataFrame:
+    """``col > quantile(col, q)`` over the whole table (or ``fit_on``), null is 0.
+
+    ``window=True`` (per-``by`` groups of a site-day table that is windowed by
+    site anyway) computes the quantile as a window over ``by``: it shares the
+    site exchange instead of a second pass over the input plus a join."""
+    if window and by and fit_on is None:
+        qv = F.percentile(F.col(col), F.lit(q)).over(Window.partitionBy(*by))
+        return df.withColumn(out, S.flag(F.col(col) > qv))
     src = fit_on if fit_on is not None else df
     qt = src.groupBy(*by).agg(F.percentile(F.col(col), F.lit(q)).alias("__q"))
     j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
@@ -231,8 +247,13 @@ def upper_quartile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
 
 
 def upper_quartile_flags(df: DataFrame, flags: dict[str, str], q: float = 0.75,
-                         by: Sequence[str] = ()) -> DataFrame:
-    """Several D17 flags (``{column: output}``) from one aggregate pass."""
+                         by: Sequence[str] = (), window: bool = False) -> DataFrame:
+    """Several D17 flags (``{column: output}``) from one aggregate pass (or one
+    window over ``by``, see ``upper_quartile_flag``)."""
+    if window and by:
+        w = Window.partitionBy(*by)
+        return df.withColumns({o: S.flag(F.col(c) > F.percentile(F.col(c), F.lit(q)).over(w))
+                               for c, o in flags.items()})
     qt = df.groupBy(*by).agg(*[F.percentile(F.col(c), F.lit(q)).alias(f"__q_{c}") for c in flags])
     j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
     return j.withColumns({o: S.flag(F.col(c) > F.col(f"__q_{c}")) for c, o in flags.items()}) \

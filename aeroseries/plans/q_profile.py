@@ -199,7 +199,7 @@ FROM joined j LEFT JOIN (SELECT site_id, {_THR} FROM joined GROUP BY site_id) t
     "SELECT site_id, date, Total_Pollen, Pollen_Severity FROM labeled", "joined", extra=[_LABELED]))
 def q_percentile_severity(spark, sf_dir):
     j = FX.joined(spark, sf_dir).select("site_id", "date", "Total_Pollen")
-    return D.label_percentile_severity(j, by=("site_id",))
+    return D.label_percentile_severity(j, by=("site_id",), window=True)
 
 
 # D16 --------------------------------------------------------------------------
@@ -225,7 +225,7 @@ FROM joined j LEFT JOIN (SELECT site_id, quantile_cont(AWND, 0.75) AS q FROM joi
 ON j.site_id = t.site_id""", "joined"))
 def q_upper_quartile(spark, sf_dir):
     j = FX.joined(spark, sf_dir).select("site_id", "date", "AWND")
-    return D.upper_quartile_flag(j, "AWND", "High_Wind", by=("site_id",))
+    return D.upper_quartile_flag(j, "AWND", "High_Wind", by=("site_id",), window=True)
 
 
 # D24 --------------------------------------------------------------------------
