@@ -1,8 +1,9 @@
 """Test-input views derived from the driver tables (see FIXTURES.md).
 
 Each function builds one view with the DataFrame API; the same views are
-written in SQL for the DuckDB oracle (``aeroseries.plans.oracle``).  Results
-are equal in both engines (checked by ``tests/test_fixtures.py``).
+written in SQL for the DuckDB oracle (``aeroseries.plans.views_sql``).  Results
+are equal in both engines (the ``read_*`` / ``fixture_*`` queries are checked
+against those views).
 
 Plans pre-aggregate before joining: lineitem is reduced to one row per
 (supplier, day) before the supplier / nation lookups, so the join input is the
@@ -16,9 +17,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aeroseries.sources.tables import read_table
+from aeroseries.sources.tables import memo_frame, read_table
 
 
+def _view(fn):
+    """Each view is defined once per session and folder (lazy plan reuse)."""
+    def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return memo_frame(spark, ("view", fn.__name__, sf_dir.rstrip("/")), lambda: fn(spark, sf_dir))
+    wrapped.__name__, wrapped.__doc__ = fn.__name__, fn.__doc__
+    return wrapped
+
+
+@_view
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station-day weather: one row per (STATION, DATE), several stations per site."""
     li = read_table(spark, sf_dir, "lineitem")
@@ -49,6 +59,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def weather_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site-day weather in metric units (station mean per day, F to C, in to mm)."""
     w = weather_raw(spark, sf_dir)
@@ -60,6 +71,7 @@ def weather_site(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.round(F.avg("AWND"), 6).alias("AWND")))
 
 
+@_view
 def pollen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily pollen counts per site (orders by customer nation)."""
     o = read_table(spark, sf_dir, "orders").select(
@@ -81,6 +93,7 @@ def pollen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.withColumn("Total_Pollen", F.col("Tree") + F.col("Grass") + F.col("Weed") + F.col("Ragweed"))
 
 
+@_view
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pollen joined with site weather on (site_id, date)."""
     p = pollen(spark, sf_dir)
@@ -90,6 +103,7 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TMAX", "TMIN", "TAVG", "PRCP", "AWND")
 
 
+@_view
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly forecast requests in Fahrenheit / inches / mph: 7 days per request."""
     w = weather_raw(spark, sf_dir)
@@ -106,6 +120,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date", "temp_max", "temp_min", "temp_avg", "precipitation", "wind_speed")
 
 
+@_view
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic stand-in predictions so metric operators have exact oracles."""
     j = joined(spark, sf_dir)
@@ -118,6 +133,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("site_id", "date", actual.alias("actual"), pred.alias("predicted"))
 
 
+@_view
 def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long table (model, site_id, date, actual, predicted) of four data-derived
     stand-in models: trailing means of 3 / 7 / 14 rows and yesterday's value,
@@ -145,6 +161,7 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
                "'Rolling Mean 14', m14, 'Persistence Lag 1', p1) AS (model, predicted)"))
 
 
+@_view
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor readings for the streaming operators."""
     e = read_table(spark, sf_dir, "events")

@@ -14,7 +14,18 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 
+def memo_frame(spark: SparkSession, key: tuple, build):
+    """Reuse a lazily defined DataFrame (a plan, not data) within one session,
+    so queries built from the same inputs skip re-listing files and
+    re-analysing the shared part of the plan."""
+    cache = spark.__dict__.setdefault("_aeroseries_frames", {})
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in BASE_TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return memo_frame(spark, ("table", path), lambda: spark.read.parquet(path))
