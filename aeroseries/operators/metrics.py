@@ -94,10 +94,13 @@ def family_stats(models: DataFrame, families: Sequence[str], model_col: str = "m
     g = (models.withColumn("family", fam).filter(F.col("family").isNotNull())
          .groupBy("family").agg(F.count(F.lit(1)).alias("models"), F.min("mae").alias("best_mae"),
                                 F.avg("mae").alias("mean_mae")))
-    # compare each family's best with the best of all other families
-    other = g.select(F.col("family").alias("__f"), F.col("best_mae").alias("__b"))
-    j = g.join(other, F.col("family") != F.col("__f"), "left")
-    cmp = j.groupBy("family", "models", "best_mae", "mean_mae").agg(F.min("__b").alias("other_best"))
+    # Best of the *other* families without pairing families: from the sorted
+    # list of family bests (one small row), the overall best family compares
+    # with the second entry, every other family with the first (ties included).
+    ranks = g.agg(F.array_sort(F.collect_list("best_mae")).alias("__b"))
+    first, second = F.element_at("__b", 1), F.try_element_at("__b", F.lit(2))
+    cmp = g.crossJoin(F.broadcast(ranks)).withColumn(
+        "other_best", F.when(F.col("best_mae") == first, second).otherwise(first)).drop("__b")
     wins = F.col("best_mae") < F.col("other_best")
     return cmp.withColumn(
         "pct_better", F.when(wins, (F.col("other_best") - F.col("best_mae")) / F.col("other_best") * 100))

@@ -11,7 +11,6 @@ from aeroseries.plans.catalog import query
 from aeroseries.plans.views_sql import with_views
 from aeroseries.sources import fixtures as FX
 
-RAW_COLS = "STATION, NAME, DATE, TMAX, TMIN, TAVG, PRCP, AWND, WSF2, WSF5"
 
 
 def _conv(col, test, conv):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
 from aeroseries.operators import features as H

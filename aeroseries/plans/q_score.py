@@ -12,7 +12,6 @@ from aeroseries.functions import scalars as S
 from aeroseries.operators import features as H
 from aeroseries.operators import models as ML
 from aeroseries.operators import score as J
-from aeroseries.operators import splits as SP
 from aeroseries.operators import windows as W
 from aeroseries.plans import sqlgen as Q
 from aeroseries.plans.catalog import query
