@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroseries.operators.clean import suffix_collisions
@@ -65,16 +65,20 @@ def date_set_summary(a: DataFrame, b: DataFrame, cols: Sequence[str] = ("site_id
     db = b.select(*cols).distinct().withColumn("__b", F.lit(True))
     j = da.join(db, list(cols), "full_outer")
     in_a, in_b = F.col("__a").isNotNull(), F.col("__b").isNotNull()
-    agg = j.groupBy(site).agg(
-        F.count_if(in_a & in_b).alias("common"),
-        F.count_if(in_a & ~in_b).alias("left_only"),
-        F.count_if(~in_a & in_b).alias("right_only"),
-        F.slice(F.array_sort(F.collect_list(F.when(in_a & ~in_b, F.col(d)))), 1, first_n)
-        .alias("left_only_first"),
-        F.slice(F.array_sort(F.collect_list(F.when(~in_a & in_b, F.col(d)))), 1, first_n)
+    side = F.when(in_a & in_b, "both").when(in_a, "left").otherwise("right")
+    j = j.withColumn("__side", side)
+    # rank inside (site, side) so only the first n dates of a side are collected
+    r = F.row_number().over(Window.partitionBy(site, "__side").orderBy(d))
+    j = j.withColumn("__r", r)
+    first = F.col("__r") <= first_n
+    return j.groupBy(site).agg(
+        F.count_if(F.col("__side") == "both").alias("common"),
+        F.count_if(F.col("__side") == "left").alias("left_only"),
+        F.count_if(F.col("__side") == "right").alias("right_only"),
+        F.array_sort(F.collect_list(F.when(first & (F.col("__side") == "left"), F.col(d)))).alias("left_only_first"),
+        F.array_sort(F.collect_list(F.when(first & (F.col("__side") == "right"), F.col(d))))
         .alias("right_only_first"),
     )
-    return agg
 
 
 # C6 ---------------------------------------------------------------------------

@@ -277,14 +277,20 @@ def q_right_only(spark, sf_dir):
 SELECT coalesce(a.site_id, b.site_id) AS site_id,
        count_if(a.date IS NOT NULL AND b.date IS NOT NULL) AS common,
        count_if(a.date IS NOT NULL AND b.date IS NULL) AS left_only,
-       count_if(a.date IS NULL AND b.date IS NOT NULL) AS right_only
+       count_if(a.date IS NULL AND b.date IS NOT NULL) AS right_only,
+       coalesce(array_to_string(list_sort(list(CAST(a.date AS varchar)) FILTER (WHERE b.date IS NULL))[1:5], ','), '')
+         AS left_only_first,
+       coalesce(array_to_string(list_sort(list(CAST(b.date AS varchar)) FILTER (WHERE a.date IS NULL))[1:5], ','), '')
+         AS right_only_first
 FROM (SELECT DISTINCT site_id, date FROM pollen) a
 FULL OUTER JOIN (SELECT DISTINCT site_id, date FROM weather_site) b
 ON a.site_id = b.site_id AND a.date = b.date
 GROUP BY coalesce(a.site_id, b.site_id)""", "pollen", "weather_site"))
 def q_date_set_counts(spark, sf_dir):
     s = C.date_set_summary(FX.pollen(spark, sf_dir), FX.weather_site(spark, sf_dir))
-    return s.select("site_id", "common", "left_only", "right_only")
+    first = [F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+             for c in ("left_only_first", "right_only_first")]
+    return s.select("site_id", "common", "left_only", "right_only", *first)
 
 
 # C6 ---------------------------------------------------------------------------
