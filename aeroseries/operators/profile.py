@@ -188,11 +188,20 @@ def pollen_presence(df: DataFrame, cols: Sequence[str] = POLLEN_TYPES, by: Seque
 
 
 # D15 --------------------------------------------------------------------------
+def _use_approx(approx: bool | None, by: Sequence[str]) -> bool:
+    """Exact percentiles keep every distinct value of a group in the task that
+    finishes it.  Per-site groups of a site-day table are bounded by the
+    calendar; a whole-table group is not, so it defaults to the approximate
+    (bounded-memory) algorithm unless ``approx=False`` is asked for."""
+    return (not by) if approx is None else approx
+
+
 def severity_thresholds(df: DataFrame, col: str = "Total_Pollen", by: Sequence[str] = (),
                         percentiles: Sequence[float] = S.SEVERITY_PERCENTILES,
-                        approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                        approx: bool | None = None, accuracy: int = 100000) -> DataFrame:
     """Percentile cut points of the positive values (linear interpolation), as
     an array column ``thresholds`` per ``by`` group."""
+    approx = _use_approx(approx, by)
     fr = F.array(*[F.lit(p / 100.0) for p in percentiles])
     pos = F.when(F.col(col) > 0, F.col(col))
     pct = (F.percentile_approx(pos, fr, accuracy) if approx else F.percentile(pos, fr))
@@ -200,7 +209,7 @@ def severity_thresholds(df: DataFrame, col: str = "Total_Pollen", by: Sequence[s
 
 
 def label_percentile_severity(df: DataFrame, col: str = "Total_Pollen", by: Sequence[str] = (),
-                              out: str = "Pollen_Severity", approx: bool = False,
+                              out: str = "Pollen_Severity", approx: bool | None = None,
                               window: bool = False) -> DataFrame:
     """G18 with D15 cut points attached per ``by`` group (whole table by default).
     ``window=True`` computes per-group cut points as a window over ``by``
@@ -231,7 +240,7 @@ def severity_distribution(df: DataFrame, col: str = "Pollen_Severity", by: Seque
 # D17 --------------------------------------------------------------------------
 def upper_quartile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
                         by: Sequence[str] = (), fit_on: DataFrame | None = None,
-                        window: bool = False) -> DataFrame:
+                        window: bool = False, approx: bool | None = None) -> DataFrame:
     """``col > quantile(col, q)`` over the whole table (or ``fit_on``), null is 0.
 
     ``window=True`` (per-``by`` groups of a site-day table that is windowed by
@@ -241,7 +250,9 @@ def upper_quartile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
         qv = F.percentile(F.col(col), F.lit(q)).over(Window.partitionBy(*by))
         return df.withColumn(out, S.flag(F.col(col) > qv))
     src = fit_on if fit_on is not None else df
-    qt = src.groupBy(*by).agg(F.percentile(F.col(col), F.lit(q)).alias("__q"))
+    pct = (F.percentile_approx(F.col(col), F.lit(q), 100000) if _use_approx(approx, by)
+           else F.percentile(F.col(col), F.lit(q)))
+    qt = src.groupBy(*by).agg(pct.cast("double").alias("__q"))
     j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
     return j.withColumn(out, S.flag(F.col(col) > F.col("__q"))).drop("__q")
 
@@ -254,7 +265,10 @@ def upper_quartile_flags(df: DataFrame, flags: dict[str, str], q: float = 0.75,
         w = Window.partitionBy(*by)
         return df.withColumns({o: S.flag(F.col(c) > F.percentile(F.col(c), F.lit(q)).over(w))
                                for c, o in flags.items()})
-    qt = df.groupBy(*by).agg(*[F.percentile(F.col(c), F.lit(q)).alias(f"__q_{c}") for c in flags])
+    exact = not _use_approx(None, by)
+    qt = df.groupBy(*by).agg(*[(F.percentile(F.col(c), F.lit(q)) if exact
+                                else F.percentile_approx(F.col(c), F.lit(q), 100000)).cast("double").alias(f"__q_{c}")
+                               for c in flags])
     j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
     return j.withColumns({o: S.flag(F.col(c) > F.col(f"__q_{c}")) for c, o in flags.items()}) \
         .drop(*[f"__q_{c}" for c in flags])

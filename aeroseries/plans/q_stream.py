@@ -75,3 +75,16 @@ def q_stream_running(spark, sf_dir):
     out = K.stream_running_features(K.file_stream(spark, src, schema, max_files=1))
     K.run_to_sink(out, sink, K.scratch_path(spark, "k4-ckpt"))
     return spark.read.parquet(sink)
+
+
+@query("stream_score_model", "K1,J1")
+def q_stream_score_model(spark, sf_dir):
+    """K1 with a Spark ML pipeline fitted on the joined table (rows-only check)."""
+    from aeroseries.operators import features as H
+    from aeroseries.plans.q_score import _trained
+    m = _trained(spark, sf_dir, ["Total_Pollen_Severity"])["Total_Pollen_Severity"]
+    src, sink = K.scratch_path(spark, "k1m-src"), K.scratch_path(spark, "k1m-sink")
+    schema = _feed(FX.requests(spark, sf_dir), src, 4)
+    out = K.stream_score(K.file_stream(spark, src, schema, max_files=2), m, H.H5_COLUMNS)
+    K.run_to_sink(out, sink, K.scratch_path(spark, "k1m-ckpt"))
+    return spark.read.parquet(sink)

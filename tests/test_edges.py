@@ -52,8 +52,15 @@ def test_rain_intensity(spark):
 
 def test_percentile_thresholds(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 4, 8, 16, 40]], "Total_Pollen double")
-    thr = D.severity_thresholds(df).first()["thresholds"]
-    assert [round(x, 6) for x in thr] == [1, 1.5, 2.5, 4, 7, 12, 16, 22, 28, 34, 40]
+    want = [1, 1.5, 2.5, 4, 7, 12, 16, 22, 28, 34, 40]
+    thr = D.severity_thresholds(df, approx=False).first()["thresholds"]
+    assert [round(x, 6) for x in thr] == want
+    # per-site groups are exact by default (bounded by the calendar)
+    per_site = D.severity_thresholds(df.withColumn("site_id", F.lit(1)), by=("site_id",)).first()["thresholds"]
+    assert [round(x, 6) for x in per_site] == want
+    # a whole-table group defaults to the bounded-memory approximation (values from the data)
+    approx = D.severity_thresholds(df).first()["thresholds"]
+    assert set(approx) <= {1.0, 2.0, 4.0, 8.0, 16.0, 40.0}
 
 
 def test_severity_biological_tree(spark):
