@@ -8,19 +8,19 @@ from aeroseries.sources import io as IO
 def test_read_metrics_aliases_and_multitype(spark, tmp_path):
     docs = tmp_path / "docs"
     docs.mkdir()
-    (docs / "rf.json").write_text(json.dumps({"test_mae": 0.715, "test_rmse": 0.98, "test_r2": 0.861}, indent=2))
-    (docs / "xgboost.json").write_text(json.dumps({"mae": 0.689, "rmse": 0.969, "r2": 0.864,
+    (docs / "forest.json").write_text(json.dumps({"test_mae": 0.715, "test_rmse": 0.98, "test_r2": 0.861}, indent=2))
+    (docs / "boosted.json").write_text(json.dumps({"mae": 0.689, "rmse": 0.969, "r2": 0.864,
                                                    "acc_within_1": 0.756}, indent=2))
     (docs / "zero.json").write_text(json.dumps({"mae": 0.0, "r2": 0.5}, indent=2))
-    names = {"rf": "Random Forest (Baseline)", "xgboost": "XGBoost (Baseline)"}
+    names = {"forest": "Forest A", "boosted": "Boosted A"}
     got = {r["model"]: r for r in IO.read_metrics(spark, str(docs), names).collect()}
-    assert set(got) == {"Random Forest (Baseline)", "XGBoost (Baseline)"}   # zero MAE counts as missing
-    assert got["Random Forest (Baseline)"]["mae"] == 0.715
-    assert got["XGBoost (Baseline)"]["acc_within_1"] == 0.756
+    assert set(got) == {"Forest A", "Boosted A"}   # zero MAE counts as missing
+    assert got["Forest A"]["mae"] == 0.715
+    assert got["Boosted A"]["acc_within_1"] == 0.756
 
     multi = tmp_path / "multi.json"
     multi.write_text(json.dumps({"Total_Pollen": {"mae": 0.517, "r2": 0.879}, "Tree": {"mae": 0.3, "r2": 0.9}}))
-    r = IO.read_multitype_metrics(spark, str(multi), "XGBoost Multi-Type (Total Pollen)").collect()
+    r = IO.read_multitype_metrics(spark, str(multi), "Boosted per type (total)").collect()
     assert len(r) == 1 and r[0]["mae"] == 0.517
 
 
