@@ -91,6 +91,24 @@ def score_daily(requests: DataFrame, model=STANDIN, feature_names: Sequence[str]
     return out.drop("temp_avg_f") if not with_inputs else out
 
 
+def score_history(site_days: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None,
+                  keys: Sequence[str] = ("site_id", "date")) -> DataFrame:
+    """Score site-days from their true history: the abiotic features (H5)
+    computed over each site's series instead of the one-row stand-ins of H6;
+    days without a complete feature row are not scored."""
+    from aeroseries.operators.features import abiotic_features
+    f = abiotic_features(site_days).na.drop(subset=list(feature_names or H5_COLUMNS))
+    return score_history_features(f, model, feature_names, keys)
+
+
+def score_history_features(features: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None,
+                           keys: Sequence[str] = ("site_id", "date")) -> DataFrame:
+    p = _predict(features, model, feature_names, keep=list(keys))
+    s = S.clip(F.col("prediction"), 0, 10)
+    return p.select(*keys, F.round(s, 2).alias("severity_score"), s.alias("raw_score"),
+                    S.severity_level(s).alias("severity_level"), S.recommendation(s).alias("recommendation"))
+
+
 # J2 ---------------------------------------------------------------------------
 def score_weekly(requests: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None) -> DataFrame:
     """1-7 days per request; each day's lags come from the forecast's earlier

@@ -33,9 +33,21 @@ def ordered(partition_by: Sequence[str] = SITE, order_by: str = "date"):
     return Window.partitionBy(*partition_by).orderBy(order_by)
 
 
-def rows(n: int, partition_by: Sequence[str] = SITE, order_by: str = "date"):
-    """Trailing frame of the last ``n`` rows including the current one."""
-    return ordered(partition_by, order_by).rowsBetween(-(n - 1), 0)
+def rows(n: int, partition_by: Sequence[str] = SITE, order_by: str = "date",
+         exclude_current: bool = False):
+    """Trailing frame of the last ``n`` rows including the current one, or the
+    ``n`` rows before it (``exclude_current``: no leak of the day's target)."""
+    o = ordered(partition_by, order_by)
+    return o.rowsBetween(-n, -1) if exclude_current else o.rowsBetween(-(n - 1), 0)
+
+
+def fill_calendar(df: DataFrame, partition_by: Sequence[str] = SITE, order_by: str = "date") -> DataFrame:
+    """One row per calendar day between each site's first and last day (missing
+    days get null measures), so row-based lags and frames become day-based.
+    The day list per site is bounded by its calendar span."""
+    span = df.groupBy(*partition_by).agg(F.min(order_by).alias("__lo"), F.max(order_by).alias("__hi"))
+    days = span.select(*partition_by, F.explode(F.sequence("__lo", "__hi")).alias(order_by))
+    return days.join(df, [*partition_by, order_by], "left")
 
 
 def running(partition_by: Sequence[str] = SITE, order_by: str = "date"):
@@ -68,16 +80,18 @@ def lag_features(df: DataFrame, cols: dict[str, str], lags: Sequence[int],
 
 
 # E2-E5, E9 --------------------------------------------------------------------
-def rolling_mean(c, n: int, min_periods: int = 1, partition_by=SITE, order_by="date") -> Column:
-    w = rows(n, partition_by, order_by)
+def rolling_mean(c, n: int, min_periods: int = 1, partition_by=SITE, order_by="date",
+                 exclude_current: bool = False) -> Column:
+    w = rows(n, partition_by, order_by, exclude_current)
     avg = F.avg(_c(c)).over(w)
     if min_periods <= 1:
         return avg
     return F.when(F.count(_c(c)).over(w) >= min_periods, avg)
 
 
-def rolling_sum(c, n: int, min_periods: int = 1, partition_by=SITE, order_by="date") -> Column:
-    w = rows(n, partition_by, order_by)
+def rolling_sum(c, n: int, min_periods: int = 1, partition_by=SITE, order_by="date",
+                exclude_current: bool = False) -> Column:
+    w = rows(n, partition_by, order_by, exclude_current)
     s = F.sum(_c(c)).over(w)
     if min_periods <= 1:
         return s

@@ -15,6 +15,7 @@ from aeroseries.operators import score as J
 from aeroseries.operators import windows as W
 from aeroseries.plans import sqlgen as Q
 from aeroseries.plans.catalog import query
+from aeroseries.plans.q_features import _H5
 from aeroseries.plans.views_sql import with_views
 from aeroseries.session import cut_lineage
 from aeroseries.sources import fixtures as FX
@@ -225,3 +226,20 @@ def q_full_report(spark, sf_dir):
     daily = J.score_daily(FX.requests(spark, sf_dir), with_inputs=True)
     report = J.full_report(daily, J.allergen_breakdown(J.allocate_by_season(daily)))
     return report.drop("temp_avg_f")
+
+
+# J1 from true history -------------------------------------
+def _history_sql():
+    pred = f"{J.STANDIN.intercept!r}" + "".join(f" + {c} * {float(w)!r}" for c, w in J.STANDIN.weights.items())
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in H.H5_COLUMNS)
+    s = Q.clip(pred, 0, 10)
+    return (f"SELECT site_id, date, round({s}, 2) AS severity_score, {s} AS raw_score, "
+            f"{Q.severity_level(s)} AS severity_level, {Q.recommendation(s)} AS recommendation "
+            f"FROM h5 WHERE {complete}")
+
+
+@query("score_from_history", "J1,H5,E21", with_views(_history_sql(), "joined", extra=[("h5", _H5)]))
+def q_score_history(spark, sf_dir):
+    j = FX.joined(spark, sf_dir)
+    f = H.abiotic_features(j).na.drop(subset=list(H.H5_COLUMNS))
+    return J.score_history_features(f)

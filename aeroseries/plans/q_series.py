@@ -235,3 +235,31 @@ SELECT site_id, date, Total_Pollen, TMAX, TMIN, PRCP FROM (
 def q_first_per_month(spark, sf_dir):
     j = FX.joined(spark, sf_dir).select("site_id", "date", "Total_Pollen", "TMAX", "TMIN", "PRCP")
     return R.first_per_month(j)
+
+
+# E1 on calendar days -----------------------------------------
+@query("calendar_day_lags", "E1", with_views("""
+SELECT d.site_id, d.date, w.TMAX, lag(w.TMAX, 1) OVER (PARTITION BY d.site_id ORDER BY d.date) AS TMAX_prev_day,
+       lag(w.PRCP, 7) OVER (PARTITION BY d.site_id ORDER BY d.date) AS PRCP_week_ago
+FROM (SELECT site_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS date
+      FROM (SELECT site_id, min(date) AS lo, max(date) AS hi FROM weather_site GROUP BY site_id) s) d
+LEFT JOIN weather_site w ON d.site_id = w.site_id AND d.date = w.date""", *WS))
+def q_calendar_lags(spark, sf_dir):
+    w = W.fill_calendar(_ws(spark, sf_dir).select("site_id", "date", "TMAX", "PRCP"))
+    return w.select("site_id", "date", "TMAX", W.lag("TMAX", 1).alias("TMAX_prev_day"),
+                    W.lag("PRCP", 7).alias("PRCP_week_ago"))
+
+
+# E2 without the current day --------------------------------
+@query("rolling_exclude_current", "E2,E3", with_views("""
+SELECT site_id, date,
+       avg(Total_Pollen) OVER (PARTITION BY site_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+         AS pollen_prior_mean_7,
+       sum(PRCP) OVER (PARTITION BY site_id ORDER BY date ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)
+         AS prcp_prior_sum_3
+FROM joined""", "joined"))
+def q_rolling_exclude(spark, sf_dir):
+    j = FX.joined(spark, sf_dir)
+    return j.select("site_id", "date",
+                    W.rolling_mean("Total_Pollen", 7, exclude_current=True).alias("pollen_prior_mean_7"),
+                    W.rolling_sum("PRCP", 3, exclude_current=True).alias("prcp_prior_sum_3"))
