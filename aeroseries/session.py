@@ -25,12 +25,18 @@ DEFAULT_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "aeroseries", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the engine's defaults.
+    """Return the active session untouched, or build one with the engine's
+    defaults.
 
     ``master`` defaults to ``local[*]`` and is only used when no session is
     active.  ``spark.sql.shuffle.partitions`` defaults to twice the local cores;
     on a cluster set it from the data size (about 128-256 MB per partition).
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # A platform-provided session keeps its own settings.
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     builder = builder.master(master or "local[*]")
     conf = dict(DEFAULT_CONF)
