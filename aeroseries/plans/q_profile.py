@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from aeroseries.functions import scalars as S
 from aeroseries.operators import clean as B
 from aeroseries.operators import joins as C
 from aeroseries.operators import metrics as M
@@ -368,12 +369,16 @@ def q_pair(spark, sf_dir):
     return C.pair_results(a, b, key="site_id")
 
 
-@query("compare_regimes", "D23", with_views("""
+@query("compare_regimes", "D23,G25", with_views("""
 SELECT a.site_id, a.mae AS mae_a, a.r2 AS r2_a, a.acc_within_1 AS acc_a,
        b.mae AS mae_b, b.r2 AS r2_b, b.acc_within_1 AS acc_b,
        (a.mae - b.mae) * 100 / nullif(a.mae, 0) AS mae_improvement_pct,
        b.r2 - a.r2 AS r2_change, (b.acc_within_1 - a.acc_within_1) * 100 AS acc_change_pct,
-       coalesce(b.mae < a.mae, false) AS b_is_better
+       coalesce(b.mae < a.mae, false) AS b_is_better,
+       CASE WHEN (a.mae - b.mae) * 100 / nullif(a.mae, 0) > 5 THEN 'Significant benefit'
+            WHEN (a.mae - b.mae) * 100 / nullif(a.mae, 0) > 0 THEN 'Modest benefit'
+            WHEN (a.mae - b.mae) * 100 / nullif(a.mae, 0) > -5 THEN 'Similar'
+            ELSE 'Other regime better' END AS benefit
 FROM (SELECT * FROM per_site WHERE model = 'Persistence Lag 1') a
 JOIN (SELECT * FROM per_site WHERE model = 'Rolling Mean 7') b ON a.site_id = b.site_id""",
     "model_predictions", extra=[_PER_SITE]))
@@ -381,7 +386,8 @@ def q_compare_regimes(spark, sf_dir):
     per = M.metrics_full(FX.model_predictions(spark, sf_dir), by=("model", "site_id"))
     a = per.filter(F.col("model") == "Persistence Lag 1").withColumnRenamed("site_id", "pollen_type")
     b = per.filter(F.col("model") == "Rolling Mean 7").withColumnRenamed("site_id", "pollen_type")
-    return M.compare_regimes(a, b).withColumnRenamed("pollen_type", "site_id")
+    out = M.compare_regimes(a, b).withColumnRenamed("pollen_type", "site_id")
+    return out.withColumn("benefit", S.benefit_tier(F.col("mae_improvement_pct")))
 
 
 # F3, F4 -----------------------------------------------------------------------
