@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
 from aeroseries.operators import features as H
@@ -235,3 +236,31 @@ FROM ({base}) b"""
 def q_request_features(spark, sf_dir):
     r = H.request_features(FX.requests(spark, sf_dir))
     return r.select("request_id", "pos", *H.H5_COLUMNS)
+
+
+# H6 with request history arrays (E21 + H6) --------------------------------------
+def _h6_hist_sql():
+    def arr(c, n):
+        return (f"list_filter(list({c}) OVER (PARTITION BY site ORDER BY date ROWS BETWEEN {n} PRECEDING AND "
+                f"1 PRECEDING), lambda x: x IS NOT NULL)")
+    cols = []
+    for k in (1, 2, 3, 7):
+        cols.append(f"CASE WHEN coalesce(len(ht), 0) >= {k} THEN {Q.f_to_c(f'ht[-{k}]')} ELSE TMAX END AS TMAX_lag_{k}")
+        cols.append(f"CASE WHEN coalesce(len(hp), 0) >= {k} THEN hp[-{k}] * 25.4E0 ELSE PRCP END AS PRCP_lag_{k}")
+        cols.append(f"CASE WHEN coalesce(len(hw), 0) >= {k} THEN hw[-{k}] * 1.609E0 ELSE AWND END AS AWND_lag_{k}")
+    return f"""
+SELECT request_id, pos, {', '.join(cols)} FROM (
+  SELECT request_id, pos, {Q.f_to_c('temp_max')} AS TMAX, coalesce(precipitation, 0.0E0) * 25.4E0 AS PRCP,
+         coalesce(nullif(wind_speed, 0.0E0), 5.0E0) * 1.609E0 AS AWND,
+         {arr('temp_avg', 30)} AS ht, {arr('precipitation', 90)} AS hp, {arr('wind_speed', 30)} AS hw
+  FROM (SELECT *, request_id // 100000 AS site FROM requests) r) t"""
+
+
+@query("request_features_with_history", "H6,E21", with_views(_h6_hist_sql(), "requests"))
+def q_request_features_history(spark, sf_dir):
+    from aeroseries.operators import windows as W
+    r = FX.requests(spark, sf_dir).withColumn("site", (F.col("request_id") / 100000).cast("bigint"))
+    r = W.trailing_arrays(r, temp="temp_avg", rain="precipitation", wind="wind_speed",
+                          partition_by=("site",), order_by="date")
+    f = H.request_features(r)
+    return f.select("request_id", "pos", *[f"{c}_lag_{k}" for k in (1, 2, 3, 7) for c in ("TMAX", "PRCP", "AWND")])
