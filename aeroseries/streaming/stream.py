@@ -52,9 +52,12 @@ def stream_score(requests: DataFrame, model=STANDIN, feature_names: Sequence[str
 # K2 ---------------------------------------------------------------------------
 def stream_daily_aggregate(readings: DataFrame, delay: str = "1 hour", ts: str = "ts",
                            by: Sequence[str] = ("site_id", "metric"), value: str = "value") -> DataFrame:
-    """Daily mean and count per site and metric with an event-time watermark;
-    in append mode a day is emitted once the watermark passes its end, and
-    rows later than the watermark are dropped."""
+    """Daily mean and count per site and metric with an event-time watermark.
+    In append mode a day is emitted once the watermark passes its end.  Rows
+    within ``delay`` of the newest event are always kept; rows older than the
+    watermark are dropped (Spark checks input against the watermark of the
+    previous micro-batch, so a late row can still join a day that is not yet
+    emitted)."""
     s = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
     g = s.groupBy(F.window(ts, "1 day"), *by).agg(F.avg(value).alias("mean_value"),
                                                   F.count(F.lit(1)).alias("n"))
