@@ -43,7 +43,7 @@ def q_stream_agg(spark, sf_dir):
     src, sink = K.scratch_path(spark, "k2-src"), K.scratch_path(spark, "k2-sink")
     schema = _feed(FX.readings(spark, sf_dir), src)
     out = K.stream_daily_aggregate(K.file_stream(spark, src, schema))
-    K.run_to_sink(out, sink, K.scratch_path(spark, "k2-ckpt"))
+    K.run_to_sink(out, sink, K.scratch_path(spark, "k2-ckpt"), partitions=K.state_partitions(spark))
     return spark.read.parquet(sink)
 
 
@@ -55,7 +55,7 @@ def q_stream_dedupe(spark, sf_dir):
     r = FX.readings(spark, sf_dir)
     schema = _feed(r.unionAll(r), src)
     out = K.stream_dedupe(K.file_stream(spark, src, schema))
-    K.run_to_sink(out, sink, K.scratch_path(spark, "k3-ckpt"))
+    K.run_to_sink(out, sink, K.scratch_path(spark, "k3-ckpt"), partitions=K.state_partitions(spark))
     return spark.read.parquet(sink)
 
 
@@ -73,7 +73,7 @@ def q_stream_running(spark, sf_dir):
     for y in range(span["lo"], span["hi"] + 1):
         w.filter(F.year("date") == y).coalesce(1).write.mode("append").parquet(src)
     out = K.stream_running_features(K.file_stream(spark, src, schema, max_files=1))
-    K.run_to_sink(out, sink, K.scratch_path(spark, "k4-ckpt"))
+    K.run_to_sink(out, sink, K.scratch_path(spark, "k4-ckpt"), partitions=K.state_partitions(spark))
     return spark.read.parquet(sink)
 
 

@@ -9,17 +9,23 @@ a lost executor resumes from the last committed micro-batch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from pyspark import cloudpickle
 
 from aeroseries.operators.score import STANDIN, score_daily
 from aeroseries.session import ensure_checkpoint_dir
+from aeroseries.streaming import state_fn
+from aeroseries.streaming.state_fn import running_update
+
+# The state function is the only Python that runs inside tasks.  It is pickled
+# by value, so executors need numpy / pandas only, not this package installed.
+cloudpickle.register_pickle_by_value(state_fn)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -34,10 +40,30 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return r.parquet(path)
 
 
-def run_to_sink(df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process everything available, write parquet, stop (``availableNow``)."""
-    q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(sink))
+def state_partitions(spark: SparkSession) -> int:
+    """A state-partition count from the cluster's parallelism (2 x cores)."""
+    return max(2, 2 * spark.sparkContext.defaultParallelism)
+
+
+def run_to_sink(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
+                partitions: int | None = None) -> StreamingQuery:
+    """Process everything available, write parquet, stop (``availableNow``).
+
+    Stateful operators fix their partition count from
+    ``spark.sql.shuffle.partitions`` when the query first starts (it is kept
+    in the checkpoint; AQE cannot coalesce stateful stages).  ``partitions``
+    sets it for this query only: the stream clones the session conf at start,
+    and the session's own value is restored right after."""
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if partitions:
+        spark.conf.set(key, str(partitions))
+    try:
+        q = (df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start(sink))
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     return q
 
@@ -77,37 +103,9 @@ RUNNING_OUT = "site_id int, date date, GDD_cumsum double, Days_Since_Rain int"
 RUNNING_STATE = "year int, gdd_cum double, since_rain int"
 
 
-def _running(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One site's new days: running GDD per calendar year and rows since the
-    last rain, continued from the state left by earlier micro-batches."""
-    year0, cum0, since0 = state.get if state.exists else (None, 0.0, -1)
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values("date", kind="stable").reset_index(drop=True)
-    years = np.array([d.year for d in pdf["date"]], dtype=np.int64)
-    tavg = pdf["TAVG"].to_numpy(dtype=float)
-    prcp = pdf["PRCP"].to_numpy(dtype=float)
-    gdd = np.where(np.isnan(tavg), 0.0, np.maximum(tavg - 5.0, 0.0))
-    cum = np.empty(len(pdf))
-    cum_end = cum0
-    for y in np.unique(years):  # a batch spans few calendar years
-        m = years == y
-        start = cum0 if (year0 is not None and y == year0) else 0.0
-        # sequential sum from the carried value: same order as the batch running sum
-        run = np.cumsum(np.concatenate(([start], gdd[m])))[1:]
-        cum[m] = run
-        cum_end = run[-1]
-    idx = np.arange(len(pdf))
-    last_rain = np.maximum.accumulate(np.where(prcp > 0, idx, -1))
-    since = np.where(last_rain >= 0, idx - last_rain, since0 + 1 + idx)
-    if len(pdf):
-        state.update((int(years[-1]), float(cum_end), int(since[-1])))
-    yield pd.DataFrame({"site_id": pdf["site_id"].astype("int32"), "date": pdf["date"],
-                        "GDD_cumsum": np.where(np.isnan(tavg), np.nan, cum),
-                        "Days_Since_Rain": since.astype("int32")})
-
-
 def stream_running_features(days: DataFrame, by: str = "site_id") -> DataFrame:
     """Yearly running GDD (base 5) and rows since the last rain, carried per
     site in state across micro-batches.  Each site's days must arrive in date
     order (e.g. one file per period with ``maxFilesPerTrigger``)."""
     return days.groupBy(by).applyInPandasWithState(
-        _running, RUNNING_OUT, RUNNING_STATE, "append", GroupStateTimeout.NoTimeout)
+        running_update, RUNNING_OUT, RUNNING_STATE, "append", GroupStateTimeout.NoTimeout)
