@@ -275,9 +275,9 @@ def q_right_only(spark, sf_dir):
 
 @query("date_set_counts", "C3,C4,C5", with_views("""
 SELECT coalesce(a.site_id, b.site_id) AS site_id,
-       count_if(a.date IS NOT NULL AND b.date IS NOT NULL) AS common,
-       count_if(a.date IS NOT NULL AND b.date IS NULL) AS left_only,
-       count_if(a.date IS NULL AND b.date IS NOT NULL) AS right_only,
+       cast(count_if(a.date IS NOT NULL AND b.date IS NOT NULL) AS bigint) AS common,
+       cast(count_if(a.date IS NOT NULL AND b.date IS NULL) AS bigint) AS left_only,
+       cast(count_if(a.date IS NULL AND b.date IS NOT NULL) AS bigint) AS right_only,
        coalesce(array_to_string(list_sort(list(CAST(a.date AS varchar)) FILTER (WHERE b.date IS NULL))[1:5], ','), '')
          AS left_only_first,
        coalesce(array_to_string(list_sort(list(CAST(b.date AS varchar)) FILTER (WHERE a.date IS NULL))[1:5], ','), '')

@@ -40,7 +40,7 @@ def q_station_counts(spark, sf_dir):
 # D3 ---------------------------------------------------------------------------
 @query("station_summary", "D3", with_views("""
 SELECT 'STN000001' AS station, min(CASE WHEN STATION = 'STN000001' THEN NAME END) AS name,
-       count_if(STATION = 'STN000001') AS records,
+       cast(count_if(STATION = 'STN000001') AS bigint) AS records,
        min(CASE WHEN STATION = 'STN000001' THEN DATE END) AS date_min,
        max(CASE WHEN STATION = 'STN000001' THEN DATE END) AS date_max,
        count_if(STATION = 'STN000001') * 100.0E0 / count(*) AS share_pct
@@ -162,7 +162,7 @@ def q_monthly_pollen(spark, sf_dir):
 
 # D13 --------------------------------------------------------------------------
 @query("pollen_presence", "D13", with_views(_union([
-    f"SELECT site_id, '{t}' AS pollen_type, count_if({t} > 0) AS days_present, "
+    f"SELECT site_id, '{t}' AS pollen_type, cast(count_if({t} > 0) AS bigint) AS days_present, "
     f"count_if({t} > 0) * 100.0E0 / count(*) AS pct FROM pollen GROUP BY site_id"
     for t in D.POLLEN_TYPES]), "pollen"))
 def q_pollen_presence(spark, sf_dir):
@@ -257,7 +257,7 @@ def metrics_sql(src: str, by: list[str], full: bool = True, where: str = "") ->
        avg(CASE WHEN abs(e) <= 1 THEN 1.0E0 ELSE 0.0E0 END) AS acc_within_1,
        avg(CASE WHEN abs(e) <= 2 THEN 1.0E0 ELSE 0.0E0 END) AS acc_within_2,
        avg(CASE WHEN actual >= 7 THEN abs(e) END) AS high_mae,
-       count_if(actual >= 7) AS high_count""" if full else ""
+       cast(count_if(actual >= 7) AS bigint) AS high_count""" if full else ""
     cond = "actual IS NOT NULL AND predicted IS NOT NULL" + (f" AND {where}" if where else "")
     return f"""
 SELECT {sel}count(*) AS n, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse,

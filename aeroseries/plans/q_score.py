@@ -58,7 +58,7 @@ def _daily_sql(weekly=False):
     conf = J.WEEKLY_CONFIDENCE if weekly else J.DAILY_CONFIDENCE
     rec = "" if weekly else f", {Q.recommendation('s')} AS recommendation"
     return (f"SELECT request_id, pos, date, round(s, 2) AS severity_score, s AS raw_score, "
-            f"{Q.severity_level('s')} AS severity_level, {conf!r} AS confidence{rec} FROM ({_scored_sql(weekly)}) t")
+            f"{Q.severity_level('s')} AS severity_level, {conf!r}E0 AS confidence{rec} FROM ({_scored_sql(weekly)}) t")
 
 
 # J1 ---------------------------------------------------------------------------
