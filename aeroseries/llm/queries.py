@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeroseries.llm import quality
+from aeroseries.llm import quality, substring_dedup
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -14,3 +14,8 @@ __all__ = ["ORACLES", "QUERIES"]
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     return quality.quality_rules(table(spark, sf_dir, "documents"), labels.where("quality = 1"))
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))

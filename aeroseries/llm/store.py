@@ -13,6 +13,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aeroseries.llm.kernels import ship_by_value
+
+ship_by_value(__name__)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared scratch folder; an error where a cluster names none."""
