@@ -190,3 +190,39 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = start[1:] > end[:-1]
     first = np.flatnonzero(new)
     return start[first], end[np.append(first[1:], start.size) - 1]
+
+
+def string_array(data: np.ndarray, off: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Strings or binaries of one byte array and offsets."""
+    wide = pa.large_string() if pa.types.is_string(kind) else pa.large_binary()
+    out = pa.Array.from_buffers(wide, off.size - 1, [None, pa.py_buffer(off.astype(np.int64).tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())])
+    return out.cast(kind) if data.size < 1 << 31 else out
+
+
+def covered(size: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which of ``size`` units lie in one of the spans."""
+    step = np.zeros(size + 1, np.int64)
+    np.add.at(step, lo, 1)
+    np.add.at(step, hi, -1)
+    return np.cumsum(step)[:-1] > 0
+
+
+def totals(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Sum of ``flags`` in each document."""
+    sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    return sums[off[1:]] - sums[off[:-1]]
+
+
+def joined_words(buf: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """Each document's kept words, joined by one space."""
+    size = np.where(keep, end - start + 1, 0)
+    owner, at = ragged(start, size)
+    out = np.append(buf, np.uint8(32))[at]
+    last = np.cumsum(size)[keep] - 1
+    out[last] = 32
+    # The space after a document's last kept word goes.
+    off = np.concatenate([[0], np.cumsum(size)])[first]
+    tail = off[1:][np.diff(off) > 0] - 1
+    stay = np.ones(out.size, bool)
+    stay[tail] = False
+    return string_array(out[stay], off - np.concatenate([[0], np.cumsum(np.diff(off) > 0)]), pa.string())

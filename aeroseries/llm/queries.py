@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeroseries.llm import quality, substring_dedup
+from aeroseries.llm import quality, substring_dedup, suffix_dedup
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -19,3 +19,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")))

@@ -51,18 +51,9 @@ def kept_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             buf, off = K.flat(part.column(1))
             start, end, first = K.words(buf, off)
             owner, span = R.lists(part, "spans")
-            lo, hi = K.merged(span["lo"] + first[owner], span["hi"] + first[owner]) if owner.size else (owner, owner)
-            gone = np.zeros(start.size + 1, np.int64)
-            gone[lo] += 1
-            gone[hi] -= 1
-            gone = np.cumsum(gone)[:-1] > 0
-            data, texts = buf.tobytes(), []
-            for d in range(part.num_rows):
-                a, b = first[d], first[d + 1]
-                stay = np.flatnonzero(~gone[a:b]) + a
-                texts.append(b" ".join([data[x:y] for x, y in zip(start[stay].tolist(), end[stay].tolist())]).decode())
-            removed = np.add.reduceat(np.append(gone, False).astype(np.int64), first[:-1]) * (np.diff(first) > 0)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first)), pa.array(removed), pa.array(texts, pa.large_string() if sum(map(len, texts)) > 1 << 30 else pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
+            gone = K.covered(start.size, span["lo"] + first[owner], span["hi"] + first[owner])
+            texts = K.joined_words(buf, start, end, first, ~gone)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first)), pa.array(K.totals(gone, first)), texts], ["doc_id", "n_words", "n_removed", "kept_text"])
 
 
 def substring_dedup(docs: DataFrame, length: int = 50, gram: int = 10) -> DataFrame:
