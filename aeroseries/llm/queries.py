@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeroseries.llm import quality, substring_dedup, suffix_dedup
+from aeroseries.llm import langid, quality, substring_dedup, suffix_dedup
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -24,3 +24,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(found["doc_id"]).alias("held_out"), "_language.lang_pred", "_language.score")
