@@ -226,3 +226,32 @@ def joined_words(buf: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.
     stay = np.ones(out.size, bool)
     stay[tail] = False
     return string_array(out[stay], off - np.concatenate([[0], np.cumsum(np.diff(off) > 0)]), pa.string())
+
+
+class WordCache:
+    """Id lists of words by their hash; starts anew beyond ``most`` words."""
+
+    def __init__(self, most: int = 400_000):
+        self.most = most
+        self.key, self.place = np.zeros(0, U64), np.zeros(0, np.int64)
+        self.ids, self.off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def lookup(self, key: np.ndarray, compute) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of the words with these hashes; ``compute(places)`` gives (ids, offsets) of those not seen yet."""
+        unique, first, same = np.unique(key, return_index=True, return_inverse=True)
+        if self.key.size + unique.size > self.most:
+            self.__init__(self.most)
+        at = np.minimum(np.searchsorted(self.key, unique), max(self.key.size - 1, 0))
+        known = self.key[at] == unique if self.key.size else np.zeros(unique.size, bool)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            ids, off = compute(first[new])
+            place = np.arange(new.size) + self.off.size - 1
+            self.ids, self.off = np.concatenate([self.ids, ids]), np.concatenate([self.off, off[1:] + self.off[-1]])
+            where = np.searchsorted(self.key, unique[new])
+            self.key, self.place = np.insert(self.key, where, unique[new]), np.insert(self.place, where, place)
+            at = np.searchsorted(self.key, unique)
+        word = self.place[at][same]
+        count = self.off[word + 1] - self.off[word]
+        _, at = ragged(self.off[word], count)
+        return self.ids[at], np.concatenate([[0], np.cumsum(count)])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroseries.llm import kernels as K
-from aeroseries.llm.store import write_table
+from aeroseries.llm.store import remove, write_table
 
 K.ship_by_value(__name__)
 NO_ID = -(1 << 63)
@@ -57,10 +57,13 @@ def segment_table(docs: DataFrame, unit: str, length: int, gram: int) -> tuple[D
     return write_table(rows, f"{unit}-segments")
 
 
-def repeated_segments(segments: DataFrame) -> DataFrame:
-    """The segments whose minimiser occurs more than once."""
+def repeated_segments(docs: DataFrame, unit: str, length: int, gram: int) -> DataFrame:
+    """The segments whose minimiser occurs more than once, written in the shared folder."""
+    segments, path = segment_table(docs, unit, length, gram)
     counted = segments.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m")
-    return segments.join(counted, "m", "left_semi")
+    repeated, _ = write_table(segments.join(counted, "m", "left_semi"), f"{unit}-repeated")
+    remove(docs.sparkSession, path)
+    return repeated
 
 
 def distinct_segments(repeated: DataFrame) -> DataFrame:
@@ -77,12 +80,13 @@ def contested(distinct: DataFrame) -> DataFrame:
 def of_representatives(docs: DataFrame, distinct: DataFrame, work: Callable, schema: str) -> DataFrame:
     """Run ``work`` over the texts that hold representatives.
 
-    Each batch has (text, segs), segs the list of (m, s, n, copies, first, at)
-    of the representatives inside; ``work`` gets the flattened lists as well.
+    Each batch has (text, segs, doc_id), segs the list of (m, s, n, copies,
+    first, at) of the representatives inside.  doc_id is there to have the
+    columns of the last join, so that one exchange of the texts serves both.
     """
     seg = F.struct("m", "s", "n", "copies", "first", F.col("rep.at").alias("at"))
     held = distinct.groupBy(F.col("rep.k").alias("k"), F.col("rep.t").alias("t")).agg(F.collect_list(seg).alias("segs"))
-    return docs.join(held, KEY).select("text", "segs").mapInArrow(work, schema)
+    return docs.join(held, KEY).select("text", "segs", "doc_id").mapInArrow(work, schema)
 
 
 def lists(part: pa.RecordBatch, name: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:

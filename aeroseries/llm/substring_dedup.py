@@ -30,8 +30,7 @@ K.ship_by_value(__name__)
 
 def window_intervals(docs: DataFrame, length: int = 50, gram: int = 10) -> DataFrame:
     """(k, t, spans): each keyed row's removed word intervals [lo, hi), not merged yet."""
-    segments, _ = R.segment_table(docs, "word", length, gram)
-    repeated = R.repeated_segments(segments)
+    repeated = R.repeated_segments(docs, "word", length, gram)
     distinct, _ = R.write_table(R.distinct_segments(repeated), "word-distinct")
     windows, _ = R.write_table(R.window_rows(docs, R.contested(distinct), "word", length), "word-windows")
     counted = windows.groupBy("m", "w").agg(F.count("*").alias("c"), F.min("first").alias("least")).where("c > 1")

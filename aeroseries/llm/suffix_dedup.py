@@ -164,8 +164,7 @@ def expanded(length: int, most: int):
 
 def repeated_runs(docs: DataFrame, length: int = 200, gram: int = 48, max_group: int = 6000, pack_bytes: int = 1 << 20) -> DataFrame:
     """(k, t, spans): each keyed row's removed byte intervals [lo, hi), not merged yet."""
-    segments, _ = R.segment_table(docs, "byte", length, gram)
-    repeated = R.repeated_segments(segments)
+    repeated = R.repeated_segments(docs, "byte", length, gram)
     distinct, _ = R.write_table(R.distinct_segments(repeated), "byte-distinct")
     family = distinct.groupBy("m").agg(F.count("*").alias("c"), F.sum(F.col("n") + (length - 1)).alias("b")).where("c > 1")
     size = family.agg(F.sum(F.when(F.col("c") <= max_group, F.col("b"))).alias("b"), F.max("c").alias("c")).first()
