@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aeroseries.llm import langid, quality, substring_dedup, suffix_dedup
+from aeroseries.llm import langid, quality, sentencepiece_codec, substring_dedup, suffix_dedup
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
+from aeroseries.llm.vocab import public
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -32,3 +34,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid.held_out(found["doc_id"]).alias("held_out"), "_language.lang_pred", "_language.score")
+
+
+@query("op5_sentencepiece")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.encode_documents(docs, public("piece_bpe_32k.model"))
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "round_trip")
