@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.llm import langid, quality, sentencepiece_codec, substring_dedup, suffix_dedup
+from aeroseries.llm import langid, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 from aeroseries.llm.vocab import public
 
@@ -41,3 +41,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = sentencepiece_codec.encode_documents(docs, public("piece_bpe_32k.model"))
     return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "round_trip")
+
+
+@query("op8_token_store")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store_tokens(table(spark, sf_dir, "documents"), public("byte_bpe_50k.json"))
