@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.llm import langid, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
+from aeroseries.llm import jaccard_join, langid, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 from aeroseries.llm.vocab import public
 
@@ -46,3 +46,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_store")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_tokens(table(spark, sf_dir, "documents"), public("byte_bpe_50k.json"))
+
+
+@query("op9_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
