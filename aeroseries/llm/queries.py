@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.llm import jaccard_join, langid, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
+from aeroseries.llm import jaccard_join, langid, line_dedup, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 from aeroseries.llm.vocab import public
 
@@ -52,3 +52,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query("op6_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_figures(table(spark, sf_dir, "documents"))
