@@ -80,13 +80,12 @@ def contested(distinct: DataFrame) -> DataFrame:
 def of_representatives(docs: DataFrame, distinct: DataFrame, work: Callable, schema: str) -> DataFrame:
     """Run ``work`` over the texts that hold representatives.
 
-    Each batch has (text, segs, doc_id), segs the list of (m, s, n, copies,
-    first, at) of the representatives inside.  doc_id is there to have the
-    columns of the last join, so that one exchange of the texts serves both.
+    Each batch has (text, segs), segs the list of the representatives inside:
+    ``at`` and the columns of ``distinct`` but ``rep``.
     """
-    seg = F.struct("m", "s", "n", "copies", "first", F.col("rep.at").alias("at"))
+    seg = F.struct(*[c for c in distinct.columns if c != "rep"], F.col("rep.at").alias("at"))
     held = distinct.groupBy(F.col("rep.k").alias("k"), F.col("rep.t").alias("t")).agg(F.collect_list(seg).alias("segs"))
-    return docs.join(held, KEY).select("text", "segs", "doc_id").mapInArrow(work, schema)
+    return docs.join(held, KEY).select("text", "segs").mapInArrow(work, schema)
 
 
 def lists(part: pa.RecordBatch, name: str) -> tuple[np.ndarray, dict[str, np.ndarray]]:

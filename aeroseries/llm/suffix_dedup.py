@@ -118,14 +118,28 @@ def repeated_windows(text: np.ndarray, off: np.ndarray, copies: np.ndarray, leng
     return often[place]
 
 
-def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, segs) to the bytes of each representative segment; ``n`` is its length in bytes."""
-    for batch in batches:
-        for part in K.slices(batch, "text"):
-            buf, off = K.flat(part.column(0))
-            owner, seg = R.lists(part, "segs")
-            _, at = K.ragged(off[owner] + seg["at"], seg["n"])
-            yield pa.RecordBatch.from_arrays([pa.array(seg["m"]), pa.array(seg["s"]), pa.array(seg["copies"]), K.string_array(buf[at], np.concatenate([[0], np.cumsum(seg["n"])]), pa.binary())], ["m", "s", "copies", "data"])
+def payload(length: int):
+    """(text, segs) to the bytes of each representative segment or, of a hot one, the hash w of each window i."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                buf, off = K.flat(part.column(0))
+                owner, seg = R.lists(part, "segs")
+                place, hot = off[owner] + seg["at"], seg["hot"].astype(bool)
+                cold = np.flatnonzero(~hot)
+                size = seg["n"][cold] + (length - 1)
+                _, at = K.ragged(place[cold], size)
+                data = K.string_array(buf[at], np.concatenate([[0], np.cumsum(size)]), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(seg["m"][cold]), pa.array(seg["s"][cold]), pa.array(seg["copies"][cold]), data, pa.nulls(cold.size, pa.int64()), pa.nulls(cold.size, pa.int32())], FIELDS)
+                if hot.any():
+                    which, start = K.ragged(place[hot], seg["n"][hot])
+                    w = K.window_hash(K.prefix(K.byte_units(buf)), start, start + length)
+                    which = np.flatnonzero(hot)[which]
+                    yield pa.RecordBatch.from_arrays([pa.array(seg["m"][which]), pa.array(seg["s"][which]), pa.array(seg["copies"][which]), pa.nulls(which.size, pa.binary()), pa.array(K.signed(w)), pa.array((start - place[which]).astype(np.int32))], FIELDS)
+    return work
+
+
+FIELDS = ["m", "s", "copies", "data", "w", "i"]
 
 
 def expanded(length: int, most: int):
@@ -167,19 +181,15 @@ def repeated_runs(docs: DataFrame, length: int = 200, gram: int = 48, max_group:
     repeated = R.repeated_segments(docs, "byte", length, gram)
     distinct, _ = R.write_table(R.distinct_segments(repeated), "byte-distinct")
     family = distinct.groupBy("m").agg(F.count("*").alias("c"), F.sum(F.col("n") + (length - 1)).alias("b")).where("c > 1")
-    size = family.agg(F.sum(F.when(F.col("c") <= max_group, F.col("b"))).alias("b"), F.max("c").alias("c")).first()
-    found = distinct.select("m", "s", F.lit(0).alias("lo"), F.lit(0).alias("hi")).where("false")
-    if size["b"]:
-        gathered = distinct.join(family.where(F.col("c") <= max_group).select("m"), "m", "left_semi").withColumn("n", F.col("n") + (length - 1))
-        packs = math.ceil(size["b"] / pack_bytes)
-        rows = R.of_representatives(docs, gathered, payload, "m long, s long, copies long, data binary")
-        found = rows.groupBy(F.pmod(F.xxhash64("m"), F.lit(packs)).alias("pack")).applyInArrow(expanded(length, pack_bytes), "m long, s long, lo long, hi long")
-    if (size["c"] or 0) > max_group:
-        hot = distinct.join(family.where(F.col("c") > max_group).select("m"), "m", "left_semi")
-        windows, _ = R.write_table(R.window_rows(docs, hot, "byte", length).dropDuplicates(["m", "s", "i"]), "byte-windows")
-        often = windows.groupBy("m", "w").agg(F.sum("copies").alias("c")).where("c > 1")
-        single = windows.join(often.select("m", "w"), ["m", "w"], "left_semi")
-        found = found.unionByName(single.select("m", "s", F.col("i").cast("long").alias("lo"), (F.col("i") + length).cast("long").alias("hi")))
+    gathered = distinct.join(family.select("m", (F.col("c") > max_group).alias("hot")), "m").drop("first")
+    reps, _ = R.write_table(R.of_representatives(docs, gathered, payload(length), "m long, s long, copies long, data binary, w long, i int"), "byte-representatives")
+    packs = math.ceil((reps.agg(F.sum(F.octet_length("data"))).first()[0] or 1) / pack_bytes)
+    cold = reps.where("data is not null").select("m", "s", "copies", "data")
+    found = cold.groupBy(F.pmod(F.xxhash64("m"), F.lit(packs)).alias("pack")).applyInArrow(expanded(length, pack_bytes), "m long, s long, lo long, hi long")
+    windows = reps.where("w is not null").select("m", "s", "copies", "w", "i").dropDuplicates(["m", "s", "i"])
+    often = windows.groupBy("m", "w").agg(F.sum("copies").alias("c")).where("c > 1")
+    single = windows.join(often.select("m", "w"), ["m", "w"], "left_semi")
+    found = found.unionByName(single.select("m", "s", F.col("i").cast("long").alias("lo"), (F.col("i") + length).cast("long").alias("hi")))
     runs = found.groupBy("m", "s").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     verdict = distinct.select("m", "s", "copies").join(runs, ["m", "s"], "left")
     held = repeated.join(verdict, ["m", "s"])
