@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.llm import jaccard_join, langid, line_dedup, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
+from aeroseries.llm import decontaminate, jaccard_join, langid, line_dedup, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 from aeroseries.llm.vocab import public
 
@@ -57,3 +57,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_line_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_figures(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontaminate", decontaminate.SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(*decontaminate.DIGEST)
