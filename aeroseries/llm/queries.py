@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.llm import decontaminate, jaccard_join, langid, line_dedup, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store
+from aeroseries.llm import decontaminate, jaccard_join, langid, line_dedup, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_store, url_filter
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 from aeroseries.llm.vocab import public
 
@@ -63,3 +63,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(*decontaminate.DIGEST)
+
+
+@query("op7_url_filter", url_filter.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
