@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroseries.llm.repeats import KEY, keyed
+from aeroseries.llm.repeats import KEY, boxed, keyed
 from aeroseries.llm.store import write_table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -159,9 +159,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, **paramet
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` without a hit, all their columns."""
-    bad = decontaminate(docs, items, window).where("contaminated").select(F.col("k").alias("_k"), F.col("t").alias("_t"))
-    marked = docs.withColumns({"_k": F.coalesce("doc_id", F.lit(-(1 << 63))), "_t": F.xxhash64("text")})
-    return marked.join(bad, ["_k", "_t"], "left_anti").select(*docs.columns)
+    bad = decontaminate(docs, items, window).where("contaminated").select(*KEY)
+    return boxed(docs).join(bad, KEY, "left_anti").select("row.*")
 
 
 DIGEST = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from aeroseries.llm import kernels as K
 from aeroseries.llm.components import components
-from aeroseries.llm.repeats import KEY, NO_ID, keyed
+from aeroseries.llm.repeats import KEY, NO_ID, boxed, keyed
 from aeroseries.llm.store import write_table
 
 K.ship_by_value(__name__)
@@ -184,7 +184,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, tree
 
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each class, all their columns."""
-    kept = near_duplicates(docs, **parameters).where("k = first.k and t = first.t").select(F.col("k").alias("_k"), F.col("t").alias("_t")).distinct()
-    marked = docs.withColumns({"_k": F.coalesce("doc_id", F.lit(NO_ID)), "_t": F.xxhash64("text")})
+    kept = near_duplicates(docs, **parameters).where("k = first.k and t = first.t").select(*KEY).distinct()
     # Repeated rows share a key; one of them stays.
-    return marked.join(kept, ["_k", "_t"], "left_semi").dropDuplicates(["_k", "_t"]).select(*docs.columns)
+    return boxed(docs).join(kept, KEY, "left_semi").groupBy(*KEY).agg(F.first("row").alias("row")).select("row.*")

@@ -192,9 +192,17 @@ def predictor(docs: DataFrame, model: Model, slice_bytes: int = 1 << 20):
     return language
 
 
-def identify(docs: DataFrame, model: Model, into: str = "_language") -> DataFrame:
-    """Every row of ``docs`` with a struct column ``into``: (lang_pred, score)."""
-    return docs.withColumn(into, predictor(docs, model)(F.col("text")))
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """Every row of ``docs`` with ``lang_pred`` and ``score``, which replace columns of these names."""
+    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    found = docs.select(F.struct(*[docs[c] for c in own]).alias("row"), predictor(docs, model)(F.col("text")).alias("found"))
+    return found.select("row.*", "found.lang_pred", "found.score")
+
+
+def with_language(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` in a learned language, all their columns."""
+    found = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), predictor(docs, model)(F.col("text")).alias("found"))
+    return found.where(F.col("found.lang_pred") != "und").select("row.*")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -33,7 +33,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
     found = langid.identify(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", langid.held_out(found["doc_id"]).alias("held_out"), "_language.lang_pred", "_language.score")
+    return found.select("doc_id", langid.held_out(found["doc_id"]).alias("held_out"), "lang_pred", "score")
 
 
 @query("op5_sentencepiece")

@@ -35,6 +35,11 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), F.xxhash64("text").alias("t"), "doc_id", "text")
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """(row, k, t, text): whole rows as one column, so that no name of theirs meets one of ours."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), F.xxhash64("text").alias("t"), "text")
+
+
 def units_of(unit: str, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of a batch's units and each document's first unit."""
     if unit == "byte":

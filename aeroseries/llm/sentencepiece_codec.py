@@ -350,5 +350,6 @@ def decoder(docs: DataFrame, path: str):
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """Every row of ``docs`` with ``ids`` and ``round_trip``; columns of these names are replaced."""
-    coded = docs.withColumn("_pieces", encoder(docs, path)(F.col("text")))
-    return coded.withColumns({"ids": F.col("_pieces.ids"), "round_trip": F.col("_pieces.round_trip")}).drop("_pieces")
+    own = [c for c in docs.columns if c not in ("ids", "round_trip")]
+    coded = docs.select(F.struct(*[docs[c] for c in own]).alias("row"), encoder(docs, path)(F.col("text")).alias("pieces"))
+    return coded.select("row.*", "pieces.ids", "pieces.round_trip")
