@@ -4,17 +4,16 @@ The request/response service of the original is re-aimed as table jobs: a
 request table (one row per requested day; weekly requests are 1-7 rows with a
 ``pos``) is validated, turned into features (H6), scored by a fitted
 ``PipelineModel`` (or any scorer with the same ``transform`` contract), and
-summarised with windows and grouped aggregates keyed by ``request_id``.  A
-request's group is at most 7 rows (4 for allergen rows), so no group can grow
-with the data.
+summarised.  The allergen scores of a request day are one array in its row, so
+totals, ranks, shares and alerts are expressions of that row: no shuffle, and
+sums in the array's order.  Weekly groups are at most 7 rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
@@ -28,7 +27,7 @@ WEEKLY_CONFIDENCE = 0.84
 # Allergen order of the per-type models, and of the seasonal allocation.
 ALLERGENS_MODEL_ORDER = ["Tree", "Grass", "Weed", "Ragweed"]
 ALLERGENS_SEASON_ORDER = ["Tree", "Grass", "Ragweed", "Weed"]
-# Seasonal shares (tree, grass, ragweed, weed) by month group.
+# Seasonal shares (tree, grass, ragweed, weed) by month group.
 SEASON_SHARES = {
     "spring": ([3, 4, 5], [0.6, 0.2, 0.1, 0.1]),
     "summer": ([6, 7, 8], [0.1, 0.7, 0.1, 0.1]),
@@ -43,30 +42,6 @@ WEEKLY_SUMMARIES = [
 ]
 
 
-class LinearIndexScorer(Transformer):
-    """Deterministic stand-in scorer: ``prediction`` = intercept + sum(w * feature).
-    Same ``transform`` contract as a fitted pipeline; used where an exact
-    oracle is wanted."""
-
-    def __init__(self, weights: dict[str, float], intercept: float = 0.0):
-        super().__init__()
-        self.weights = dict(weights)
-        self.intercept = float(intercept)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        expr: Column = F.lit(self.intercept)
-        for c, w in self.weights.items():
-            expr = expr + F.col(c) * F.lit(float(w))
-        return df.withColumn("prediction", expr)
-
-
-# Weights of the stand-in index (GDD and peak proximity raise, rain lowers).
-STANDIN_WEIGHTS = {"GDD_General": 0.25, "Tree_Peak_Prox": 3.0, "Grass_Peak_Prox": 2.5,
-                   "Weed_Peak_Prox": 2.0, "Rain_Heavy": -1.5, "Ventilation_Index": 0.005,
-                   "TMAX_lag_1": 0.02, "PRCP_lag_1": -0.01}
-STANDIN = LinearIndexScorer(STANDIN_WEIGHTS, intercept=0.5)
-
-
 def _predict(features: DataFrame, model, names: Sequence[str] | None, keep: Sequence[str]) -> DataFrame:
     names = list(names or H5_COLUMNS)
     x = align_features(features, names, keep=keep)
@@ -74,7 +49,7 @@ def _predict(features: DataFrame, model, names: Sequence[str] | None, keep: Sequ
 
 
 # J1 ---------------------------------------------------------------------------
-def score_daily(requests: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None,
+def score_daily(requests: DataFrame, model, feature_names: Sequence[str] | None = None,
                 keys: Sequence[str] = ("request_id", "pos"), with_inputs: bool = False) -> DataFrame:
     """Valid requests -> features -> predict -> clip [0, 10] -> score rounded to
     2, level and advice from the unrounded score, confidence 0.87.
@@ -91,7 +66,7 @@ def score_daily(requests: DataFrame, model=STANDIN, feature_names: Sequence[str]
     return out.drop("temp_avg_f") if not with_inputs else out
 
 
-def score_history(site_days: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None,
+def score_history(site_days: DataFrame, model, feature_names: Sequence[str] | None = None,
                   keys: Sequence[str] = ("site_id", "date")) -> DataFrame:
     """Score site-days from their true history: the abiotic features (H5)
     computed over each site's series instead of the one-row stand-ins of H6;
@@ -101,7 +76,7 @@ def score_history(site_days: DataFrame, model=STANDIN, feature_names: Sequence[s
     return score_history_features(f, model, feature_names, keys)
 
 
-def score_history_features(features: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None,
+def score_history_features(features: DataFrame, model, feature_names: Sequence[str] | None = None,
                            keys: Sequence[str] = ("site_id", "date")) -> DataFrame:
     p = _predict(features, model, feature_names, keep=list(keys))
     s = S.clip(F.col("prediction"), 0, 10)
@@ -110,7 +85,7 @@ def score_history_features(features: DataFrame, model=STANDIN, feature_names: Se
 
 
 # J2 ---------------------------------------------------------------------------
-def score_weekly(requests: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None) -> DataFrame:
+def score_weekly(requests: DataFrame, model, feature_names: Sequence[str] | None = None) -> DataFrame:
     """1-7 days per request; each day's lags come from the forecast's earlier
     days (E22); confidence 0.84."""
     v = validate_requests(requests).filter("is_valid")
@@ -135,72 +110,96 @@ def weekly_summary(weekly: DataFrame) -> DataFrame:
 
 
 # J4 ---------------------------------------------------------------------------
+def _entry(t: str, i: int, score: Column) -> Column:
+    return F.struct(F.lit(t).alias("allergen_type"), F.lit(i).alias("idx"), score.alias("score"))
+
+
+def model_entries(requests: DataFrame, models: dict[str, object],
+                  feature_names: Sequence[str] | None = None,
+                  keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+    """Per-type models one after the other on one frame of request features:
+    (keys, date, entries), ``entries`` the clipped scores in model order."""
+    v = validate_requests(requests).filter("is_valid")
+    x = align_features(request_features(v), list(feature_names or H5_COLUMNS), keep=[*keys, "date"])
+    types = [t for t in ALLERGENS_MODEL_ORDER if t in models]
+    own = list(x.columns)
+    for t in types:
+        p = models[t].transform(x.select(*own))
+        own.append(f"__score_{t}")
+        x = p.withColumn(own[-1], S.clip(F.col("prediction"), 0, 10))
+    entries = F.array(*[_entry(t, ALLERGENS_MODEL_ORDER.index(t), F.col(f"__score_{t}")) for t in types])
+    return x.select(*keys, "date", entries.alias("entries"))
+
+
 def score_allergens(requests: DataFrame, models: dict[str, object],
                     feature_names: Sequence[str] | None = None,
                     keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
     """Per-type models on the request features, each clipped; long form
     (keys, date, allergen_type, idx, score) with ``idx`` the model order."""
-    v = validate_requests(requests).filter("is_valid")
-    f = request_features(v)
-    x = align_features(f, list(feature_names or H5_COLUMNS), keep=[*keys, "date"])
-    parts = []
-    for i, t in enumerate(ALLERGENS_MODEL_ORDER):
-        if t not in models:
-            continue
-        p = models[t].transform(x)
-        parts.append(p.select(*keys, "date", F.lit(t).alias("allergen_type"), F.lit(i).alias("idx"),
-                              S.clip(F.col("prediction"), 0, 10).alias("score")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return model_entries(requests, models, feature_names, keys).select(*keys, "date", F.inline("entries"))
 
 
 # J5 ---------------------------------------------------------------------------
-def allocate_by_season(daily: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+def season_entries(daily: DataFrame) -> DataFrame:
     """Without allergen models: the day's severity split by the month's shares
     times a temperature factor (> 75 F: 1.2, < 50 F: 0.7) of the request's
     (filled) average temperature, 65 F when unknown.  ``daily`` comes from
-    ``score_daily(..., with_inputs=True)``.  Long form like J4, ``idx`` in the
-    order tree, grass, ragweed, weed."""
-    d = daily.select(*keys, "date", "raw_score",
-                     F.coalesce(F.col("temp_avg_f"), F.lit(65.0)).alias("__t"))
+    ``score_daily(..., with_inputs=True)``; adds ``entries`` in the order tree,
+    grass, ragweed, weed."""
+    t = F.coalesce(F.col("temp_avg_f"), F.lit(65.0))
     m = F.month("date")
-    factor = F.when(F.col("__t") > 75, 1.2).when(F.col("__t") < 50, 0.7).otherwise(1.0)
+    factor = F.when(t > 75, 1.2).when(t < 50, 0.7).otherwise(1.0)
     share_arr = None
     for months, shares in SEASON_SHARES.values():
         arr = F.array(*[F.lit(float(x)) for x in shares])
         share_arr = F.when(m.isin(*months), arr) if share_arr is None else share_arr.when(m.isin(*months), arr)
-    entries = F.array(*[F.struct(F.lit(t).alias("allergen_type"), F.lit(i).alias("idx"),
-                                 (F.col("raw_score") * F.element_at(share_arr, i + 1) * factor).alias("score"))
-                        for i, t in enumerate(ALLERGENS_SEASON_ORDER)])
-    return d.select(*keys, "date", F.inline(entries))
+    return daily.withColumn("entries", F.array(*[
+        _entry(t, i, F.col("raw_score") * F.element_at(share_arr, i + 1) * factor)
+        for i, t in enumerate(ALLERGENS_SEASON_ORDER)]))
+
+
+def allocate_by_season(daily: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+    """J5 in long form, like J4."""
+    return season_entries(daily).select(*keys, "date", F.inline("entries"))
 
 
 # J6 ---------------------------------------------------------------------------
+def _summary(entries: str = "entries") -> dict[str, Column]:
+    """Of one row's entries: the total (added in the entries' order), the first
+    entry with the greatest score above 0, else Grass, and the alert level of
+    the unrounded total."""
+    total = F.aggregate(entries, F.lit(0.0), lambda acc, e: acc + e["score"])
+    best = F.array_min(F.transform(entries, lambda e: F.struct((-e["score"]).alias("s"), e["idx"], e["allergen_type"])))
+    return {"total": total, "primary": F.when(best["s"] < 0, best["allergen_type"]).otherwise(F.lit("Grass")),
+            "alert": S.alert_level(total)}
+
+
+def ranked_allergens(df: DataFrame) -> DataFrame:
+    """From ``entries``: ``allergens``, ranked (rounded score desc, ties in input
+    order) with rounded score, level and share (1 decimal, 0 when the total is
+    0), and the row's total_severity, primary_allergen and alert_level."""
+    s = _summary()
+    df = df.withColumns({"__total": s["total"], "primary_allergen": s["primary"], "alert_level": s["alert"]})
+    order = F.array_sort(F.transform("entries", lambda e: F.struct(
+        (-F.round(e["score"], 2)).alias("o"), e["idx"].alias("idx"), e["allergen_type"].alias("allergen_type"),
+        e["score"].alias("score"))))
+    ranked = F.transform(order, lambda e, i: F.struct(
+        (i + 1).alias("rank"), e["allergen_type"].alias("allergen_type"),
+        F.round(e["score"], 2).alias("severity_score"), S.severity_level(e["score"]).alias("severity_level"),
+        F.when(F.col("__total") > 0, F.round(e["score"] / F.col("__total") * 100, 1)).otherwise(F.lit(0.0))
+        .alias("contribution_pct")))
+    return df.withColumns({"allergens": ranked, "total_severity": F.round("__total", 2)}).drop("__total", "entries")
+
+
 def allergen_breakdown(scores: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
-    """Long rows per allergen: rounded score, level, share (1 decimal, 0 when the
-    total is 0) and rank (rounded score desc, ties in input order), plus the
-    request's total (rounded), primary allergen (first strict maximum above 0,
-    else Grass) and alert level (from the unrounded total)."""
-    w = Window.partitionBy(*keys)
-    total = F.sum("score").over(w)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(F.round("score", 2)), F.asc("idx")))
-    best = F.min_by("allergen_type", F.struct((-F.col("score")).alias("s"), F.col("idx").alias("i"))).over(w)
-    return scores.select(
-        *keys, "date", "allergen_type", rank.alias("rank"),
-        F.round("score", 2).alias("severity_score"), S.severity_level(F.col("score")).alias("severity_level"),
-        F.when(total > 0, F.round(F.col("score") / total * 100, 1)).otherwise(F.lit(0.0)).alias("contribution_pct"),
-        F.round(total, 2).alias("total_severity"),
-        F.when(F.max("score").over(w) > 0, best).otherwise(F.lit("Grass")).alias("primary_allergen"),
-        S.alert_level(total).alias("alert_level"))
-
-
-def allergen_response(breakdown: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
-    """Nested response per request: allergens as a ranked array of structs."""
-    item = F.struct("rank", "allergen_type", "severity_score", "severity_level", "contribution_pct")
-    return breakdown.groupBy(*keys, "date", "total_severity", "primary_allergen", "alert_level").agg(
-        F.array_sort(F.collect_list(item)).alias("allergens"))
+    """One row per allergen of the rows of ``season_entries`` or ``model_entries``."""
+    r = ranked_allergens(scores)
+    return r.select(*keys, "date", "total_severity", "primary_allergen", "alert_level", F.inline("allergens"))
+
+
+def allergen_response(scores: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+    """Nested response per request day: allergens as a ranked array of structs."""
+    return ranked_allergens(scores).select(*keys, "date", "total_severity", "primary_allergen", "alert_level", "allergens")
 
 
 # J7 ---------------------------------------------------------------------------
@@ -245,9 +244,13 @@ def expand_sparse_history(df: DataFrame, yesterday="pollen_1", three_days="polle
 
 
 # J10 --------------------------------------------------------------------------
-def full_report(daily: DataFrame, breakdown: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
-    """Daily score with the request's allergen summary; the breakdown may be absent."""
-    summ = breakdown.groupBy(*keys).agg(F.first("total_severity").alias("total_severity"),
-                                        F.first("primary_allergen").alias("primary_allergen"),
-                                        F.first("alert_level").alias("alert_level"))
-    return daily.join(summ, list(keys), "left")
+def full_report(daily: DataFrame, entries: str | None = "entries") -> DataFrame:
+    """Daily score with the request's allergen summary in the same row; without
+    ``entries`` the summary is null."""
+    if entries is None:
+        none = F.lit(None)
+        return daily.withColumns({"total_severity": none.cast("double"), "primary_allergen": none.cast("string"),
+                                  "alert_level": none.cast("string")})
+    s = _summary(entries)
+    return daily.withColumns({"total_severity": F.round(s["total"], 2), "primary_allergen": s["primary"],
+                              "alert_level": s["alert"]}).drop(entries)

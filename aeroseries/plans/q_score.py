@@ -1,6 +1,6 @@
 """Queries for batch scoring.
 
-Exact oracles use the deterministic stand-in index (``score.STANDIN``); the
+Exact oracles use the deterministic stand-in index (``fixtures.STANDIN``); the
 ``*_model`` variants score with Spark ML models trained on the joined table
 (rows-only check)."""
 
@@ -43,8 +43,8 @@ def _scored_sql(weekly: bool) -> str:
         "Ventilation_Index": "AWND * (TMAX - TMIN)",
         "TMAX_lag_1": lag_t, "PRCP_lag_1": lag_p,
     }
-    pred = f"{J.STANDIN.intercept!r}" + "".join(
-        f" + ({feats[c]}) * {float(w)!r}" for c, w in J.STANDIN.weights.items())
+    pred = f"{FX.STANDIN.intercept!r}" + "".join(
+        f" + ({feats[c]}) * {float(w)!r}" for c, w in FX.STANDIN.weights.items())
     base = f"""
 SELECT request_id, pos, date, temp_avg_f, precipitation, {Q.f_to_c('temp_max')} AS TMAX,
        {Q.f_to_c('temp_min')} AS TMIN, {Q.f_to_c('temp_avg_f')} AS TAVG, precipitation * 25.4E0 AS PRCP,
@@ -64,7 +64,7 @@ def _daily_sql(weekly=False):
 # J1 ---------------------------------------------------------------------------
 @query("score_daily", "J1", with_views(_daily_sql(), "requests"))
 def q_daily(spark, sf_dir):
-    return J.score_daily(FX.requests(spark, sf_dir))
+    return J.score_daily(FX.requests(spark, sf_dir), FX.STANDIN)
 
 
 def _trained(spark, sf_dir, labels):
@@ -83,7 +83,7 @@ def q_daily_model(spark, sf_dir):
 # J2 ---------------------------------------------------------------------------
 @query("score_weekly", "J2", with_views(_daily_sql(weekly=True), "requests"))
 def q_weekly(spark, sf_dir):
-    return J.score_weekly(FX.requests(spark, sf_dir))
+    return J.score_weekly(FX.requests(spark, sf_dir), FX.STANDIN)
 
 
 # J3 ---------------------------------------------------------------------------
@@ -97,7 +97,7 @@ SELECT request_id, count(*) AS days, avg(severity_score) AS avg_severity,
             WHEN avg(severity_score) <= 7 THEN '{_W[2]}' ELSE '{_W[3]}' END AS summary
 FROM ({_daily_sql(weekly=True)}) w GROUP BY request_id""", "requests"))
 def q_weekly_summary(spark, sf_dir):
-    return J.weekly_summary(J.score_weekly(FX.requests(spark, sf_dir)))
+    return J.weekly_summary(J.score_weekly(FX.requests(spark, sf_dir), FX.STANDIN))
 
 
 # J4 ---------------------------------------------------------------------------
@@ -117,21 +117,22 @@ def _alloc_sql():
         for i, t in enumerate(J.ALLERGENS_SEASON_ORDER):
             share.setdefault(t, []).append((months, shares[i]))
     factor = "CASE WHEN temp_avg_f > 75 THEN 1.2E0 WHEN temp_avg_f < 50 THEN 0.7E0 ELSE 1.0E0 END"
-    parts = []
-    for i, t in enumerate(J.ALLERGENS_SEASON_ORDER):
-        case = "CASE " + " ".join(f"WHEN {m} IN ({', '.join(map(str, ms))}) THEN {v!r}" for ms, v in share[t]) + " END"
-        parts.append(f"SELECT request_id, pos, date, '{t}' AS allergen_type, {i} AS idx, "
-                     f"s * {case} * {factor} AS score FROM scored")
-    return "\nUNION ALL ".join(parts)
+    return ", ".join(
+        "s * CASE " + " ".join(f"WHEN {m} IN ({', '.join(map(str, ms))}) THEN {v!r}" for ms, v in share[t])
+        + f" END * {factor} AS s{i}" for i, t in enumerate(J.ALLERGENS_SEASON_ORDER))
 
 
 _SCORED = ("scored", _scored_sql(False))
-_ALLOC = ("alloc", _alloc_sql())
+_WIDE = ("wide", f"SELECT *, s0 + s1 + s2 + s3 AS total FROM (SELECT request_id, pos, date, {_alloc_sql()} FROM scored) a")
+_ALLOC = ("alloc", "\nUNION ALL ".join(
+    f"SELECT request_id, pos, date, '{t}' AS allergen_type, {i} AS idx, s{i} AS score, total FROM wide"
+    for i, t in enumerate(J.ALLERGENS_SEASON_ORDER)))
 
 
-@query("allocate_by_season", "J5", with_views("SELECT * FROM alloc", "requests", extra=[_SCORED, _ALLOC]))
+@query("allocate_by_season", "J5", with_views(
+    "SELECT request_id, pos, date, allergen_type, idx, score FROM alloc", "requests", extra=[_SCORED, _WIDE, _ALLOC]))
 def q_alloc(spark, sf_dir):
-    return J.allocate_by_season(J.score_daily(FX.requests(spark, sf_dir), with_inputs=True))
+    return J.allocate_by_season(J.score_daily(FX.requests(spark, sf_dir), FX.STANDIN, with_inputs=True))
 
 
 # J6 ---------------------------------------------------------------------------
@@ -139,21 +140,20 @@ _BREAKDOWN = ("breakdown", f"""
 SELECT request_id, pos, date, allergen_type,
        row_number() OVER (PARTITION BY request_id, pos ORDER BY round(score, 2) DESC, idx) AS rank,
        round(score, 2) AS severity_score, {Q.severity_level('score')} AS severity_level,
-       CASE WHEN sum(score) OVER (PARTITION BY request_id, pos) > 0
-            THEN round(score / sum(score) OVER (PARTITION BY request_id, pos) * 100, 1) ELSE 0.0E0 END AS contribution_pct,
-       round(sum(score) OVER (PARTITION BY request_id, pos), 2) AS total_severity,
+       CASE WHEN total > 0 THEN round(score / total * 100, 1) ELSE 0.0E0 END AS contribution_pct,
+       round(total, 2) AS total_severity,
        CASE WHEN max(score) OVER (PARTITION BY request_id, pos) > 0
             THEN arg_min(allergen_type, (-score, idx)) OVER (PARTITION BY request_id, pos) ELSE 'Grass' END
          AS primary_allergen,
-       {Q.alert_level('sum(score) OVER (PARTITION BY request_id, pos)')} AS alert_level
+       {Q.alert_level('total')} AS alert_level
 FROM alloc""")
 
 
 @query("allergen_breakdown", "J6", with_views("SELECT * FROM breakdown", "requests",
-                                              extra=[_SCORED, _ALLOC, _BREAKDOWN]))
+                                              extra=[_SCORED, _WIDE, _ALLOC, _BREAKDOWN]))
 def q_breakdown(spark, sf_dir):
-    daily = J.score_daily(FX.requests(spark, sf_dir), with_inputs=True)
-    return J.allergen_breakdown(J.allocate_by_season(daily))
+    daily = J.score_daily(FX.requests(spark, sf_dir), FX.STANDIN, with_inputs=True)
+    return J.allergen_breakdown(J.season_entries(daily))
 
 
 # J7 ---------------------------------------------------------------------------
@@ -221,16 +221,28 @@ def q_sparse_history(spark, sf_dir):
 SELECT d.*, b.total_severity, b.primary_allergen, b.alert_level
 FROM ({_daily_sql()}) d
 LEFT JOIN (SELECT DISTINCT request_id, pos, total_severity, primary_allergen, alert_level FROM breakdown) b
-ON d.request_id = b.request_id AND d.pos = b.pos""", "requests", extra=[_SCORED, _ALLOC, _BREAKDOWN]))
+ON d.request_id = b.request_id AND d.pos = b.pos""", "requests", extra=[_SCORED, _WIDE, _ALLOC, _BREAKDOWN]))
 def q_full_report(spark, sf_dir):
-    daily = J.score_daily(FX.requests(spark, sf_dir), with_inputs=True)
-    report = J.full_report(daily, J.allergen_breakdown(J.allocate_by_season(daily)))
-    return report.drop("temp_avg_f")
+    daily = J.score_daily(FX.requests(spark, sf_dir), FX.STANDIN, with_inputs=True)
+    return J.full_report(J.season_entries(daily)).drop("temp_avg_f")
+
+
+@query("allergen_response", "J6", with_views("""
+SELECT request_id, pos, any_value(date) AS date, any_value(total_severity) AS total_severity,
+       any_value(primary_allergen) AS primary_allergen, any_value(alert_level) AS alert_level, count(*) AS n_allergens,
+       string_agg(rank || ':' || allergen_type || ':' || severity_level, ';' ORDER BY rank) AS ranking
+FROM breakdown GROUP BY request_id, pos""", "requests", extra=[_SCORED, _WIDE, _ALLOC, _BREAKDOWN]))
+def q_response(spark, sf_dir):
+    daily = J.score_daily(FX.requests(spark, sf_dir), FX.STANDIN, with_inputs=True)
+    r = J.allergen_response(J.season_entries(daily))
+    text = F.transform("allergens", lambda a: F.concat_ws(":", a["rank"].cast("string"), a["allergen_type"], a["severity_level"]))
+    return r.select("request_id", "pos", "date", "total_severity", "primary_allergen", "alert_level",
+                    F.size("allergens").cast("bigint").alias("n_allergens"), F.array_join(text, ";").alias("ranking"))
 
 
 # J1 from true history -------------------------------------
 def _history_sql():
-    pred = f"{J.STANDIN.intercept!r}" + "".join(f" + {c} * {float(w)!r}" for c, w in J.STANDIN.weights.items())
+    pred = f"{FX.STANDIN.intercept!r}" + "".join(f" + {c} * {float(w)!r}" for c, w in FX.STANDIN.weights.items())
     complete = " AND ".join(f"{c} IS NOT NULL" for c in H.H5_COLUMNS)
     s = Q.clip(pred, 0, 10)
     return (f"SELECT site_id, date, round({s}, 2) AS severity_score, {s} AS raw_score, "
@@ -242,4 +254,4 @@ def _history_sql():
 def q_score_history(spark, sf_dir):
     j = FX.joined(spark, sf_dir)
     f = H.abiotic_features(j).na.drop(subset=list(H.H5_COLUMNS))
-    return J.score_history_features(f)
+    return J.score_history_features(f, FX.STANDIN)

@@ -27,7 +27,7 @@ def _feed(df, path, parts=None):
 def q_stream_score(spark, sf_dir):
     src, sink = K.scratch_path(spark, "k1-src"), K.scratch_path(spark, "k1-sink")
     schema = _feed(FX.requests(spark, sf_dir), src, 4)
-    out = K.stream_score(K.file_stream(spark, src, schema, max_files=1))
+    out = K.stream_score(K.file_stream(spark, src, schema, max_files=1), FX.STANDIN)
     K.run_to_sink(out, sink, K.scratch_path(spark, "k1-ckpt"))
     return spark.read.parquet(sink)
 

@@ -14,7 +14,8 @@ planner's size statistics and AQE.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml import Transformer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aeroseries.sources.tables import memo_frame, read_table
@@ -169,6 +170,30 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "ts", F.col("event_type").alias("metric"), "value")
 
 
+class LinearIndexScorer(Transformer):
+    """Deterministic scorer of the tests and oracles: ``prediction`` = intercept + sum(w * feature).
+    Same ``transform`` contract as a fitted pipeline; used where an exact
+    oracle is wanted."""
+
+    def __init__(self, weights: dict[str, float], intercept: float = 0.0):
+        super().__init__()
+        self.weights = dict(weights)
+        self.intercept = float(intercept)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        expr: Column = F.lit(self.intercept)
+        for c, w in self.weights.items():
+            expr = expr + F.col(c) * F.lit(float(w))
+        return df.withColumn("prediction", expr)
+
+
+# Weights of the stand-in index (GDD and peak proximity raise, rain lowers).
+STANDIN_WEIGHTS = {"GDD_General": 0.25, "Tree_Peak_Prox": 3.0, "Grass_Peak_Prox": 2.5,
+                   "Weed_Peak_Prox": 2.0, "Rain_Heavy": -1.5, "Ventilation_Index": 0.005,
+                   "TMAX_lag_1": 0.02, "PRCP_lag_1": -0.01}
+STANDIN = LinearIndexScorer(STANDIN_WEIGHTS, intercept=0.5)
+
+
 VIEWS = {
     "weather_raw": weather_raw,
     "weather_site": weather_site,

@@ -18,7 +18,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pyspark import cloudpickle
 
-from aeroseries.operators.score import STANDIN, score_daily
+from aeroseries.operators.score import score_daily
 from aeroseries.session import ensure_checkpoint_dir
 from aeroseries.streaming import state_fn
 from aeroseries.streaming.state_fn import running_update
@@ -69,7 +69,7 @@ def run_to_sink(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
 
 
 # K1 ---------------------------------------------------------------------------
-def stream_score(requests: DataFrame, model=STANDIN, feature_names: Sequence[str] | None = None) -> DataFrame:
+def stream_score(requests: DataFrame, model, feature_names: Sequence[str] | None = None) -> DataFrame:
     """Stateless scoring of arriving requests: the batch J1 function applied to
     a streaming frame (features need only the row and its arrays)."""
     return score_daily(requests, model, feature_names)

@@ -87,25 +87,40 @@ def test_gdd_null_stays_null(spark):
     assert [r[0] for r in df.select(S.gdd(F.col("t"), 5)).collect()] == [None, 0.0, 7.0]
 
 
+def entries(spark, scores, order=J.ALLERGENS_MODEL_ORDER):
+    rows = [(1, 0, dt.date(2024, 5, 1), [(t, i, v) for i, (t, v) in enumerate(zip(order, scores))])]
+    return spark.createDataFrame(rows, "request_id long, pos int, date date, "
+                                       "entries array<struct<allergen_type string, idx int, score double>>")
+
+
 def test_breakdown_all_zero(spark):
-    rows = [(1, 0, dt.date(2024, 5, 1), t, i, 0.0) for i, t in enumerate(J.ALLERGENS_MODEL_ORDER)]
-    s = spark.createDataFrame(rows, "request_id long, pos int, date date, allergen_type string, idx int, score double")
-    out = J.allergen_breakdown(s).collect()
+    out = J.allergen_breakdown(entries(spark, [0.0] * 4)).collect()
     assert {r["contribution_pct"] for r in out} == {0.0}
     assert {r["primary_allergen"] for r in out} == {"Grass"}
     assert [r["allergen_type"] for r in sorted(out, key=lambda r: r["rank"])] == J.ALLERGENS_MODEL_ORDER
 
 
 def test_breakdown_primary_first_max(spark):
-    scores = [2.0, 5.0, 5.0, 1.0]
-    rows = [(1, 0, dt.date(2024, 5, 1), t, i, v) for i, (t, v) in enumerate(zip(J.ALLERGENS_MODEL_ORDER, scores))]
-    s = spark.createDataFrame(rows, "request_id long, pos int, date date, allergen_type string, idx int, score double")
-    out = J.allergen_breakdown(s).collect()
+    out = J.allergen_breakdown(entries(spark, [2.0, 5.0, 5.0, 1.0])).collect()
     assert {r["primary_allergen"] for r in out} == {"Grass"}
     assert {r["alert_level"] for r in out} == {"Severe"}
     assert {r["total_severity"] for r in out} == {13.0}
 
 
+def test_total_is_added_in_order(spark):
+    """0.7 + 1.4 + 3.5 + 1.4 is 7.0 in this order and more in others: not Severe."""
+    e = entries(spark, [0.7, 1.4, 3.5, 1.4], J.ALLERGENS_SEASON_ORDER)
+    assert {r["alert_level"] for r in J.allergen_breakdown(e).collect()} == {"High"}
+    r = J.full_report(e).first()
+    assert (r["total_severity"], r["alert_level"]) == (7.0, "High")
+    assert J.full_report(e.drop("entries"), None).first()["alert_level"] is None
+
+
+def test_breakdown_needs_no_shuffle(spark):
+    plan = J.full_report(entries(spark, [1.0, 2.0, 3.0, 4.0]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_weekly_summary_all_zero(spark):
     rows = [(1, i, dt.date(2024, 1, 1 + i), 0.0, 0.0) for i in range(7)]
     w = spark.createDataFrame(rows, "request_id long, pos int, date date, severity_score double, raw_score double")
