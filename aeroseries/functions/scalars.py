@@ -35,6 +35,8 @@ BIO_LEVEL_NAMES = {
 }
 # Percentiles used for percentile-based severity cut points.
 SEVERITY_PERCENTILES = [0, 10, 25, 40, 55, 70, 80, 85, 90, 95, 100]
+# Names of the percentile severities 0 to 9.
+SEVERITY_NAMES = ["None", "Very Low", "Low", "Low-Mod", "Moderate", "Mod-High", "High", "Very High", "Extreme", "Severe"]
 # Fixed count cut points of the scoring service (severity 0..9).
 FIXED_SEVERITY_CUTS = [0.6, 3.0, 7.0, 14.0, 29.0, 61.0, 131.0, 202.5, 341.3, 642.8]
 # Severity level names, index = floor(score) capped at 9.
@@ -169,9 +171,8 @@ def season_progress(doy: Column, start: int) -> Column:
 
 # G17 ------------------------------------------------------------------------
 def gdd_trigger(gdd_cumsum: Column, level: float) -> Column:
-    """Running GDD above ``level``.  The sum is compared at 1e-9 so the flag
-    does not depend on the order in which partial sums were added."""
-    return flag(F.round(gdd_cumsum, 9) > level)
+    """Running GDD above ``level``; the running sum is added in date order."""
+    return flag(gdd_cumsum > level)
 
 
 # G18 ------------------------------------------------------------------------

@@ -45,7 +45,7 @@ def select_key_variables(df: DataFrame, extra: Sequence[str] = ("TAVG_calculated
 
 
 # B3 ---------------------------------------------------------------------------
-def search_stations(df: DataFrame, pattern: str = "VT|VERMONT|BURLINGTON") -> DataFrame:
+def search_stations(df: DataFrame, pattern: str) -> DataFrame:
     """Distinct (STATION, NAME) whose name matches the case-insensitive regex."""
     return (df.select("STATION", "NAME").filter(F.col("NAME").rlike(f"(?i){pattern}"))
             .distinct())
@@ -215,6 +215,13 @@ def validate_requests(df: DataFrame, require_max_ge_min: bool = True) -> DataFra
     return df.withColumn("reasons", reasons).withColumn("is_valid", F.size("reasons") == 0)
 
 
+def split_requests(df: DataFrame, require_max_ge_min: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected): the valid rows as they are, and the rejected rows with
+    their ``reasons``; no row is lost."""
+    v = validate_requests(df, require_max_ge_min)
+    return v.filter("is_valid").drop("is_valid", "reasons"), v.filter("not is_valid").drop("is_valid")
+
+
 # B13 --------------------------------------------------------------------------
 def select_by_pattern(columns: Sequence[str], literal: Sequence[str] = (),
                       contains: Sequence[str] = (), ban: str | None = None) -> list[str]:

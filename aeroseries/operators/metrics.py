@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroseries.functions.scalars import season
@@ -58,10 +58,13 @@ def metrics_full(df: DataFrame, y: str = "actual", p: str = "predicted", by: Seq
 # D19 --------------------------------------------------------------------------
 def metrics_by_season(df: DataFrame, y: str = "actual", p: str = "predicted", date_col: str = "date",
                       by: Sequence[str] = ()) -> DataFrame:
-    d = df.withColumn("season", season(F.month(date_col)))
-    m = metrics_basic(d, y, p, [*by, "season"])
-    means = d.groupBy(*by, "season").agg(F.avg(y).alias("mean_actual"), F.avg(p).alias("mean_predicted"))
-    return m.join(means, [*by, "season"])
+    """D14 per season with both means, in one aggregate over the rows that have
+    both values."""
+    d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull()).withColumn("season", season(F.month(date_col)))
+    e = F.col(y) - F.col(p)
+    return d.groupBy(*by, "season").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+        _r2(y, e).alias("r2"), F.avg(y).alias("mean_actual"), F.avg(p).alias("mean_predicted"))
 
 
 # D20 --------------------------------------------------------------------------
@@ -94,13 +97,13 @@ def family_stats(models: DataFrame, families: Sequence[str], model_col: str = "m
     g = (models.withColumn("family", fam).filter(F.col("family").isNotNull())
          .groupBy("family").agg(F.count(F.lit(1)).alias("models"), F.min("mae").alias("best_mae"),
                                 F.avg("mae").alias("mean_mae")))
-    # Best of the *other* families without pairing families: from the sorted
-    # list of family bests (one small row), the overall best family compares
-    # with the second entry, every other family with the first (ties included).
-    ranks = g.agg(F.array_sort(F.collect_list("best_mae")).alias("__b"))
+    # Best of the *other* families without pairing families: a window over the
+    # few family rows; the overall best family compares with the second entry,
+    # every other family with the first (ties included).
+    bests = F.array_sort(F.collect_list("best_mae").over(Window.partitionBy()))
+    cmp = g.withColumn("__b", bests)
     first, second = F.element_at("__b", 1), F.try_element_at("__b", F.lit(2))
-    cmp = g.crossJoin(F.broadcast(ranks)).withColumn(
-        "other_best", F.when(F.col("best_mae") == first, second).otherwise(first)).drop("__b")
+    cmp = cmp.withColumn("other_best", F.when(F.col("best_mae") == first, second).otherwise(first)).drop("__b")
     wins = F.col("best_mae") < F.col("other_best")
     return cmp.withColumn(
         "pct_better", F.when(wins, (F.col("other_best") - F.col("best_mae")) / F.col("other_best") * 100))

@@ -2,18 +2,21 @@
 
 All are grouped aggregations with partial (map-side) aggregation, so a hot
 station or site is combined inside each input partition before the shuffle.
-Exact percentiles keep one counter per distinct value and group; for very
-high-cardinality groups use ``approx=True`` (``percentile_approx``).
+Percentiles are exact: per group one counter per distinct value (groups of a
+site-day table are bounded by the calendar), over the whole table by a
+range-partitioned running count.  ``approx=True`` asks for ``percentile_approx``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
+from aeroseries.session import cut_lineage
 
 WEATHER_VARS = ["TMAX", "TMIN", "TAVG", "PRCP", "AWND"]
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
@@ -105,10 +108,11 @@ def recommend_strategy(target: DataFrame, all_stations: DataFrame) -> DataFrame:
     strat = (F.when(tp >= 80, "single").when(ap >= 80, "aggregate")
              .when(tp > ap, "single_limited").otherwise("aggregate_limited"))
     j = j.withColumn("strategy", strat)
-    single = F.count_if(F.col("strategy").startswith("single"))
-    agg = F.count_if(F.col("strategy").startswith("aggregate"))
-    overall = j.agg(F.when(single > agg, "single").otherwise("aggregate").alias("overall"))
-    return j.crossJoin(F.broadcast(overall))
+    # One row a variable: a window over the few rows, not a second pass.
+    w = Window.partitionBy()
+    single = F.count_if(F.col("strategy").startswith("single")).over(w)
+    agg = F.count_if(F.col("strategy").startswith("aggregate")).over(w)
+    return j.withColumn("overall", F.when(single > agg, "single").otherwise("aggregate"))
 
 
 # D7 ---------------------------------------------------------------------------
@@ -187,89 +191,132 @@ def pollen_presence(df: DataFrame, cols: Sequence[str] = POLLEN_TYPES, by: Seque
     return _unpivot(g, by, pairs, ["days_present", "pct"]).withColumnRenamed("__k", "pollen_type")
 
 
-# D15 --------------------------------------------------------------------------
-def _use_approx(approx: bool | None, by: Sequence[str]) -> bool:
-    """Exact percentiles keep every distinct value of a group in the task that
-    finishes it.  Per-site groups of a site-day table are bounded by the
-    calendar; a whole-table group is not, so it defaults to the approximate
-    (bounded-memory) algorithm unless ``approx=False`` is asked for."""
-    return (not by) if approx is None else approx
+# Exact whole-table percentiles ---------------------------------------------------
+def exact_percentiles(df: DataFrame, cols: Sequence[str], fractions: Sequence[float]) -> dict[str, list | None]:
+    """Interpolated percentiles of whole columns, exact at any size.
+
+    Each column's value counts are range-partitioned and written once; a value's
+    rank is its running count inside its partition plus the counts of the
+    partitions before it.  Only those totals and the two neighbours of each
+    wanted rank reach the driver.  None for a column without values.
+    """
+    out: dict[str, list | None] = {}
+    for c in cols:
+        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        placed = cut_lineage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "value-counts")
+        totals = sorted(placed.groupBy("part").agg(F.sum("n").alias("n")).collect())
+        size = sum(t["n"] for t in totals)
+        if not size:
+            out[c] = None
+            continue
+        before = {t["part"]: sum(x["n"] for x in totals[:i]) for i, t in enumerate(totals)}
+        ranks = sorted({r for f in fractions for r in (math.floor(f * (size - 1)), math.ceil(f * (size - 1)))})
+        parts = [p for p, b in before.items() if any(b <= r < b + dict(totals)[p] for r in ranks)]
+        upto = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+        base = F.element_at(F.create_map(*[F.lit(x) for p in parts for x in (p, before[p])]), F.col("part"))
+        rows = placed.where(F.col("part").isin(parts)).select("v", "n", (upto + base).alias("end"))
+        hit = F.exists(F.array(*[F.lit(r) for r in ranks]), lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n")))
+        found = rows.where(hit).collect()
+        value = {r: next(x["v"] for x in found if x["end"] - x["n"] <= r < x["end"]) for r in ranks}
+
+        def at(f: float) -> float:
+            place = f * (size - 1)
+            lo, hi = value[math.floor(place)], value[math.ceil(place)]
+            return lo if lo == hi else (math.ceil(place) - place) * lo + (place - math.floor(place)) * hi
+
+        out[c] = [at(f) for f in fractions]
+    return out
+
+
+def _cuts(df: DataFrame, cols: Sequence[str], fractions: Sequence[float], approx: bool, accuracy: int) -> dict[str, Column]:
+    """Whole-table percentiles of ``cols`` as literal array columns."""
+    if approx:
+        r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(fractions), accuracy).alias(c) for c in cols]).first()
+        found = {c: r[c] for c in cols}
+    else:
+        found = exact_percentiles(df, cols, fractions)
+    null = F.lit(None).cast("array<double>")
+    return {c: null if found[c] is None else F.array(*[F.lit(float(x)) for x in found[c]]) for c in cols}
 
 
+# D15 --------------------------------------------------------------------------
 def severity_thresholds(df: DataFrame, col: str = "Total_Pollen", by: Sequence[str] = (),
                         percentiles: Sequence[float] = S.SEVERITY_PERCENTILES,
-                        approx: bool | None = None, accuracy: int = 100000) -> DataFrame:
+                        approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """Percentile cut points of the positive values (linear interpolation), as
-    an array column ``thresholds`` per ``by`` group."""
-    approx = _use_approx(approx, by)
-    fr = F.array(*[F.lit(p / 100.0) for p in percentiles])
-    pos = F.when(F.col(col) > 0, F.col(col))
-    pct = (F.percentile_approx(pos, fr, accuracy) if approx else F.percentile(pos, fr))
-    return df.groupBy(*by).agg(pct.alias("thresholds"))
+    an array column ``thresholds`` per ``by`` group.  Exact unless ``approx``:
+    groups of a site-day table are bounded by the calendar, the whole table goes
+    through ``exact_percentiles``."""
+    fr = [p / 100.0 for p in percentiles]
+    pos = df.select(*by, F.when(F.col(col) > 0, F.col(col)).alias("__v"))
+    if by:
+        arr = F.array(*[F.lit(f) for f in fr])
+        pct = F.percentile_approx("__v", arr, accuracy) if approx else F.percentile("__v", arr)
+        return pos.groupBy(*by).agg(pct.alias("thresholds"))
+    return df.sparkSession.range(1).select(_cuts(pos, ["__v"], fr, approx, accuracy)["__v"].alias("thresholds"))
 
 
 def label_percentile_severity(df: DataFrame, col: str = "Total_Pollen", by: Sequence[str] = (),
-                              out: str = "Pollen_Severity", approx: bool | None = None,
+                              out: str = "Pollen_Severity", approx: bool = False,
                               window: bool = False) -> DataFrame:
     """G18 with D15 cut points attached per ``by`` group (whole table by default).
     ``window=True`` computes per-group cut points as a window over ``by``
     (site-day tables: one exchange, no second pass and join)."""
-    if window and by:
-        fr = F.array(*[F.lit(p / 100.0) for p in S.SEVERITY_PERCENTILES])
-        pos = F.when(F.col(col) > 0, F.col(col))
-        thr_w = F.percentile(pos, fr).over(Window.partitionBy(*by))
+    fr = [p / 100.0 for p in S.SEVERITY_PERCENTILES]
+    pos = F.when(F.col(col) > 0, F.col(col))
+    if not by:
+        cuts = _cuts(df.select(pos.alias("__v")), ["__v"], fr, approx, 100000)["__v"]
+        return df.withColumn(out, S.severity_percentile(F.col(col), cuts))
+    if window:
+        thr_w = F.percentile(pos, F.array(*[F.lit(f) for f in fr])).over(Window.partitionBy(*by))
         return df.withColumn(out, S.severity_percentile(F.col(col), thr_w))
-    thr = severity_thresholds(df, col, by, approx=approx)
-    j = df.crossJoin(F.broadcast(thr)) if not by else df.join(thr, list(by), "left")
+    j = df.join(severity_thresholds(df, col, by, approx=approx), list(by), "left")
     return j.withColumn(out, S.severity_percentile(F.col(col), F.col("thresholds"))).drop("thresholds")
 
 
 # D16 --------------------------------------------------------------------------
 def severity_distribution(df: DataFrame, col: str = "Pollen_Severity", by: Sequence[str] = ()) -> DataFrame:
-    names = F.array(*[F.lit(x) for x in ["None", "Very Low", "Low", "Low-Mod", "Moderate", "Mod-High",
-                                            "High", "Very High", "Extreme", "Severe"]])
+    """Days, share and name of each severity; the total is a sum of the grouped
+    counts, so the input is read once."""
+    names = F.array(*[F.lit(x) for x in S.SEVERITY_NAMES])
     g = df.groupBy(*by, F.col(col).alias("severity")).agg(F.count(F.lit(1)).alias("days"))
-    tot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__tot"))
-    j = g.crossJoin(F.broadcast(tot)) if not by else g.join(tot, list(by))
+    tot = F.sum("days").over(Window.partitionBy(*by))
     lvl = F.when(F.col("severity") < 10, F.element_at(names, F.col("severity").cast("int") + 1)) \
         .otherwise(F.concat(F.lit("Level "), F.col("severity").cast("int").cast("string")))
-    return j.select(*by, "severity", "days", (F.col("days") * 100.0 / F.col("__tot")).alias("pct"),
-                    lvl.alias("label"))
+    return g.select(*by, "severity", "days", (F.col("days") * 100.0 / tot).alias("pct"), lvl.alias("label"))
 
 
 # D17 --------------------------------------------------------------------------
 def upper_quartile_flag(df: DataFrame, col: str, out: str, q: float = 0.75,
                         by: Sequence[str] = (), fit_on: DataFrame | None = None,
-                        window: bool = False, approx: bool | None = None) -> DataFrame:
-    """``col > quantile(col, q)`` over the whole table (or ``fit_on``), null is 0.
-
-    ``window=True`` (per-``by`` groups of a site-day table that is windowed by
-    site anyway) computes the quantile as a window over ``by``: it shares the
-    site exchange instead of a second pass over the input plus a join."""
-    if window and by and fit_on is None:
-        qv = F.percentile(F.col(col), F.lit(q)).over(Window.partitionBy(*by))
-        return df.withColumn(out, S.flag(F.col(col) > qv))
-    src = fit_on if fit_on is not None else df
-    pct = (F.percentile_approx(F.col(col), F.lit(q), 100000) if _use_approx(approx, by)
-           else F.percentile(F.col(col), F.lit(q)))
-    qt = src.groupBy(*by).agg(pct.cast("double").alias("__q"))
-    j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
+                        window: bool = False, approx: bool = False) -> DataFrame:
+    """``col > quantile(col, q)`` over the whole table (or ``fit_on``), null is 0."""
+    if fit_on is None:
+        return upper_quartile_flags(df, {col: out}, q, by, window, approx)
+    if not by:
+        cut = F.element_at(_cuts(fit_on.select(col), [col], [q], approx, 100000)[col], 1)
+        return df.withColumn(out, S.flag(F.col(col) > cut))
+    pct = F.percentile_approx(F.col(col), F.lit(q), 100000) if approx else F.percentile(F.col(col), F.lit(q))
+    j = df.join(fit_on.groupBy(*by).agg(pct.cast("double").alias("__q")), list(by), "left")
     return j.withColumn(out, S.flag(F.col(col) > F.col("__q"))).drop("__q")
 
 
-def upper_quartile_flags(df: DataFrame, flags: dict[str, str], q: float = 0.75,
-                         by: Sequence[str] = (), window: bool = False) -> DataFrame:
-    """Several D17 flags (``{column: output}``) from one aggregate pass (or one
-    window over ``by``, see ``upper_quartile_flag``)."""
-    if window and by:
+def upper_quartile_flags(df: DataFrame, flags: dict[str, str], q: float = 0.75, by: Sequence[str] = (),
+                         window: bool = False, approx: bool = False) -> DataFrame:
+    """Several D17 flags (``{column: output}``).  ``window=True`` (per-``by``
+    groups of a site-day table that is windowed by site anyway) computes the
+    quantiles as windows over ``by``: they share the site exchange instead of a
+    second pass over the input plus a join."""
+    if not by:
+        cuts = _cuts(df.select(*flags), list(flags), [q], approx, 100000)
+        return df.withColumns({o: S.flag(F.col(c) > F.element_at(cuts[c], 1)) for c, o in flags.items()})
+    if window:
         w = Window.partitionBy(*by)
         return df.withColumns({o: S.flag(F.col(c) > F.percentile(F.col(c), F.lit(q)).over(w))
                                for c, o in flags.items()})
-    exact = not _use_approx(None, by)
-    qt = df.groupBy(*by).agg(*[(F.percentile(F.col(c), F.lit(q)) if exact
-                                else F.percentile_approx(F.col(c), F.lit(q), 100000)).cast("double").alias(f"__q_{c}")
-                               for c in flags])
-    j = df.crossJoin(F.broadcast(qt)) if not by else df.join(qt, list(by), "left")
+    qt = df.groupBy(*by).agg(*[(F.percentile_approx(F.col(c), F.lit(q), 100000) if approx
+                                else F.percentile(F.col(c), F.lit(q))).cast("double").alias(f"__q_{c}") for c in flags])
+    j = df.join(qt, list(by), "left")
     return j.withColumns({o: S.flag(F.col(c) > F.col(f"__q_{c}")) for c, o in flags.items()}) \
         .drop(*[f"__q_{c}" for c in flags])
 
@@ -279,25 +326,16 @@ def distribution_histogram(df: DataFrame, cols: Sequence[str] = ("actual", "pred
                            bins: int = 11, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over each series' own [min, max]; the max falls in the
     last bin.  Density = count / (n * width).  Rows (by..., series, bin, lo, hi,
-    count, density)."""
-    parts = []
-    for c in cols:
-        st = df.groupBy(*by).agg(F.min(c).alias("__lo"), F.max(c).alias("__hi"),
-                                 F.count(c).alias("__n"))
-        j = df.select(*by, F.col(c).alias("__v")).filter(F.col("__v").isNotNull())
-        j = j.crossJoin(F.broadcast(st)) if not by else j.join(st, list(by))
-        width = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
-        b = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(
-            F.least(F.floor((F.col("__v") - F.col("__lo")) / width) + 1, F.lit(bins)))
-        g = (j.withColumn("bin", b.cast("int"))
-             .groupBy(*by, "bin", "__lo", "__hi", "__n").agg(F.count(F.lit(1)).alias("count")))
-        w = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
-        parts.append(g.select(
-            *by, F.lit(c).alias("series"), "bin",
-            (F.col("__lo") + (F.col("bin") - 1) * w).alias("lo"),
-            (F.col("__lo") + F.col("bin") * w).alias("hi"), "count",
-            F.when(w > 0, F.col("count") / (F.col("__n") * w)).alias("density")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    count, density).  One aggregate finds all bounds, one counts all bins."""
+    stacked = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("__v"))
+                                                 for c in cols])).alias("__x")).select(*by, "__x.*").filter("__v is not null")
+    keys = [*by, "series"]
+    st = stacked.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.count("__v").alias("__n"))
+    w = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
+    b = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(
+        F.least(F.floor((F.col("__v") - F.col("__lo")) / w) + 1, F.lit(bins)))
+    g = (stacked.join(st, keys).withColumn("bin", b.cast("int"))
+         .groupBy(*keys, "bin", "__lo", "__hi", "__n").agg(F.count(F.lit(1)).alias("count")))
+    return g.select(*keys, "bin", (F.col("__lo") + (F.col("bin") - 1) * w).alias("lo"),
+                    (F.col("__lo") + F.col("bin") * w).alias("hi"), "count",
+                    F.when(w > 0, F.col("count") / (F.col("__n") * w)).alias("density"))

@@ -179,7 +179,8 @@ def q_quality(spark, sf_dir):
 
 
 # B12 --------------------------------------------------------------------------
-@query("validate_requests", "B12", with_views("""
+def _checked(table):
+    return f"""
 SELECT request_id, pos, date,
        coalesce(array_to_string(list_filter([
          CASE WHEN date IS NULL THEN 'date_missing' END,
@@ -197,12 +198,32 @@ SELECT request_id, pos, date,
          AND coalesce(NOT (temp_avg < -50 OR temp_avg > 150), true)
          AND coalesce(precipitation >= 0, true) AND coalesce(wind_speed >= 0, true)
          AND coalesce(temp_max >= temp_min, true) AS is_valid
-FROM requests""", "requests"))
+FROM {table}"""
+
+
+def _reasons(df):
+    return df.select("request_id", "pos", "date", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("validate_requests", "B12", with_views(_checked("requests"), "requests"))
 def q_validate(spark, sf_dir):
     r = B.validate_requests(FX.requests(spark, sf_dir))
     return r.select("request_id", "pos", "date", F.array_join("reasons", ",").alias("reasons"), "is_valid")
 
 
+@query("rejected_requests", "B12", with_views(
+    f"SELECT request_id, pos, date, reasons FROM ({_checked('messy_requests')}) c WHERE NOT is_valid", "messy_requests"))
+def q_rejected(spark, sf_dir):
+    return _reasons(B.split_requests(FX.messy_requests(spark, sf_dir))[1])
+
+
+@query("rejection_reasons", "B12", with_views(
+    f"SELECT reasons, count(*) AS n FROM ({_checked('messy_requests')}) c GROUP BY reasons", "messy_requests"))
+def q_reasons(spark, sf_dir):
+    r = B.validate_requests(FX.messy_requests(spark, sf_dir))
+    return r.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # B16 --------------------------------------------------------------------------
 @query("edge_impute", "B16", with_views("""
 SELECT site_id, date, coalesce(TAVG, first_value(TAVG IGNORE NULLS) OVER (PARTITION BY site_id ORDER BY date

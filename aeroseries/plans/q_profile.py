@@ -170,6 +170,7 @@ def q_pollen_presence(spark, sf_dir):
 
 
 # D15 --------------------------------------------------------------------------
+# The oracle states its values itself, so a wrong constant can't pass on both sides.
 _PCTS = [0, 10, 25, 40, 55, 70, 80, 85, 90, 95, 100]
 
 
@@ -229,6 +230,34 @@ def q_upper_quartile(spark, sf_dir):
     return D.upper_quartile_flag(j, "AWND", "High_Wind", by=("site_id",), window=True)
 
 
+# D15, G18, D17 over the whole table (no site) -----------------------------------
+_ALL = ("labeled_all", f"""
+SELECT j.site_id, j.date, j.Total_Pollen, {_CASE} AS Pollen_Severity FROM joined j, (SELECT {_THR} FROM joined) t""")
+
+
+@query("severity_thresholds_all", "D15", with_views(
+    "SELECT " + ", ".join(f"quantile_cont(CASE WHEN Total_Pollen > 0 THEN Total_Pollen END, {p / 100.0!r}) AS p{p}" for p in _PCTS)
+    + " FROM joined", "joined"))
+def q_thresholds_all(spark, sf_dir):
+    t = D.severity_thresholds(FX.joined(spark, sf_dir))
+    return t.select(*[F.element_at("thresholds", i + 1).alias(f"p{p}") for i, p in enumerate(_PCTS)])
+
+
+@query("percentile_severity_all", "D15,G18", with_views("SELECT * FROM labeled_all", "joined", extra=[_ALL]))
+def q_percentile_severity_all(spark, sf_dir):
+    j = FX.joined(spark, sf_dir).select("site_id", "date", "Total_Pollen")
+    return D.label_percentile_severity(j)
+
+
+@query("upper_quartile_flags_all", "D17", with_views("""
+SELECT site_id, date, cast(coalesce(AWND > qa, false) AS integer) AS High_Wind,
+       cast(coalesce(PRCP > qp, false) AS integer) AS Is_Heavy_Rain
+FROM joined, (SELECT quantile_cont(AWND, 0.75) AS qa, quantile_cont(PRCP, 0.75) AS qp FROM joined) q""", "joined"))
+def q_upper_quartile_all(spark, sf_dir):
+    j = FX.joined(spark, sf_dir).select("site_id", "date", "AWND", "PRCP")
+    return D.upper_quartile_flags(j, {"AWND": "High_Wind", "PRCP": "Is_Heavy_Rain"}).drop("AWND", "PRCP")
+
+
 # D24 --------------------------------------------------------------------------
 def _hist_sql(c):
     return f"""
@@ -288,7 +317,8 @@ SELECT *, CASE WHEN month(date) IN (3, 4, 5) THEN 'Spring' WHEN month(date) IN (
 
 @query("metrics_by_season", "D19", with_views(f"""
 SELECT m.*, mean_actual, mean_predicted FROM ({metrics_sql('seasoned', ['season'], full=False)}) m
-JOIN (SELECT season, avg(actual) AS mean_actual, avg(predicted) AS mean_predicted FROM seasoned GROUP BY season) s
+JOIN (SELECT season, avg(actual) AS mean_actual, avg(predicted) AS mean_predicted FROM seasoned
+      WHERE actual IS NOT NULL AND predicted IS NOT NULL GROUP BY season) s
 ON m.season = s.season""", "predictions", extra=[_SEASONED]))
 def q_metrics_by_season(spark, sf_dir):
     return M.metrics_by_season(FX.predictions(spark, sf_dir))

@@ -59,6 +59,14 @@ FROM (
          max(coalesce(PRCP, 0)) AS precipitation, max(AWND) AS wind_speed
   FROM weather_raw GROUP BY site_id, DATE
 ) t""",
+    "messy_requests": """
+SELECT request_id, pos, CASE WHEN n = 1 THEN NULL ELSE date END AS date,
+       CASE WHEN n = 2 THEN NULL WHEN n = 3 THEN temp_max + 200.0E0 WHEN n = 4 THEN temp_min - 1.0E0 ELSE temp_max END AS temp_max,
+       CASE WHEN n IN (2, 5) THEN NULL WHEN n = 6 THEN temp_min - 300.0E0 ELSE temp_min END AS temp_min,
+       CASE WHEN n = 7 THEN 151.0E0 ELSE temp_avg END AS temp_avg,
+       CASE WHEN n = 8 THEN -0.5E0 ELSE precipitation END AS precipitation,
+       CASE WHEN n IN (8, 9) THEN -1.0E0 ELSE wind_speed END AS wind_speed
+FROM (SELECT *, (request_id + pos) % 13 AS n FROM requests) r""",
     "predictions": """
 SELECT site_id, date, actual, predicted FROM (
   SELECT site_id, date,
@@ -97,6 +105,7 @@ VIEW_DEPS = {
     "pollen": (),
     "joined": ("pollen", "weather_site"),
     "requests": ("weather_raw",),
+    "messy_requests": ("requests",),
     "predictions": ("joined",),
     "model_predictions_wide": ("joined",),
     "model_predictions": ("model_predictions_wide",),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,29 +55,35 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named in ``spark.checkpoint.dir``.
+    """Return the shared folder named in ``spark.checkpoint.dir``.
 
-    The cluster's setting is read from the session and used as is.  Only when
-    it is unset (local runs and tests) a fresh scratch folder is created.
+    The cluster's setting is read from the session and used as is.  Only a
+    ``local`` master without that setting (tests) gets a fresh scratch folder;
+    elsewhere driver and executors share no local folder, so it is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
+    if not configured and current.isDefined():
         return current.get()
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         configured = tempfile.mkdtemp(prefix="aeroseries-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
+    if not current.isDefined():
+        sc.setCheckpointDir(configured)
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it again.
 
-    Used before iterative work (model search loops) so a lost executor is
-    recovered from the written files instead of replaying the whole plan.
+    Used before iterative work (model search loops): a lost executor is
+    recovered from the files instead of replaying the whole plan, and later
+    scans still prune columns and push filters down.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

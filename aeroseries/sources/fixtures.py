@@ -121,6 +121,20 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date", "temp_max", "temp_min", "temp_avg", "precipitation", "wind_speed")
 
 
+@_view
+def messy_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests with nine kinds of invalid rows, by a rule on their keys."""
+    n = (F.col("request_id") + F.col("pos")) % 13
+    return requests(spark, sf_dir).select(
+        "request_id", "pos", F.when(n != 1, F.col("date")).alias("date"),
+        F.when(n == 2, None).when(n == 3, F.col("temp_max") + 200.0).when(n == 4, F.col("temp_min") - 1.0)
+        .otherwise(F.col("temp_max")).alias("temp_max"),
+        F.when(n.isin(2, 5), None).when(n == 6, F.col("temp_min") - 300.0).otherwise(F.col("temp_min")).alias("temp_min"),
+        F.when(n == 7, 151.0).otherwise(F.col("temp_avg")).alias("temp_avg"),
+        F.when(n == 8, -0.5).otherwise(F.col("precipitation")).alias("precipitation"),
+        F.when(n.isin(8, 9), -1.0).otherwise(F.col("wind_speed")).alias("wind_speed"))
+
+
 @_view
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic stand-in predictions so metric operators have exact oracles."""
@@ -200,6 +214,7 @@ VIEWS = {
     "pollen": pollen,
     "joined": joined,
     "requests": requests,
+    "messy_requests": messy_requests,
     "predictions": predictions,
     "model_predictions": model_predictions,
     "readings": readings,

@@ -16,8 +16,20 @@ from pyspark.sql.streaming.state import GroupState
 def running_update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """One site's new days: running GDD per calendar year and rows since the
     last rain, continued from the state left by earlier micro-batches."""
-    year0, cum0, since0 = state.get if state.exists else (None, 0.0, -1)
+    year0, cum0, since0, last0 = state.get if state.exists else (None, 0.0, -1, None)
     pdf = pd.concat(list(batches), ignore_index=True).sort_values("date", kind="stable").reset_index(drop=True)
+    day = np.array([d.toordinal() for d in pdf["date"]], dtype=np.int64)
+    # Late: at or before the last day in state, or a repeated day.
+    late = np.concatenate(([False], day[1:] == day[:-1])) if len(day) else np.zeros(0, bool)
+    if last0 is not None:
+        late |= day <= last0
+    if late.any():
+        out = pdf[late]
+        yield pd.DataFrame({"site_id": out["site_id"].astype("int32"), "date": out["date"], "GDD_cumsum": np.nan,
+                            "Days_Since_Rain": pd.array([None] * len(out), dtype="Int32"), "is_late": True})
+        pdf, day = pdf[~late].reset_index(drop=True), day[~late]
+    if not len(pdf):
+        return
     years = np.array([d.year for d in pdf["date"]], dtype=np.int64)
     tavg = pdf["TAVG"].to_numpy(dtype=float)
     prcp = pdf["PRCP"].to_numpy(dtype=float)
@@ -34,8 +46,7 @@ def running_update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     idx = np.arange(len(pdf))
     last_rain = np.maximum.accumulate(np.where(prcp > 0, idx, -1))
     since = np.where(last_rain >= 0, idx - last_rain, since0 + 1 + idx)
-    if len(pdf):
-        state.update((int(years[-1]), float(cum_end), int(since[-1])))
+    state.update((int(years[-1]), float(cum_end), int(since[-1]), int(day[-1])))
     yield pd.DataFrame({"site_id": pdf["site_id"].astype("int32"), "date": pdf["date"],
                         "GDD_cumsum": np.where(np.isnan(tavg), np.nan, cum),
-                        "Days_Since_Rain": since.astype("int32")})
+                        "Days_Since_Rain": since.astype("int32"), "is_late": False})

@@ -91,21 +91,24 @@ def stream_daily_aggregate(readings: DataFrame, delay: str = "1 hour", ts: str =
 
 
 # K3 ---------------------------------------------------------------------------
-def stream_dedupe(readings: DataFrame, keys: Sequence[str] = ("event_id",), delay: str = "1 hour",
+def stream_dedupe(readings: DataFrame, keys: Sequence[str] = ("site_id", "ts"), delay: str = "1 hour",
                   ts: str = "ts") -> DataFrame:
-    """Each event once: duplicates within the watermark delay are dropped."""
+    """Each (station, time) once, or each combination of ``keys``: duplicates
+    within the watermark delay are dropped."""
     s = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
     return s.dropDuplicatesWithinWatermark(list(keys)).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
 
 
 # K4 ---------------------------------------------------------------------------
-RUNNING_OUT = "site_id int, date date, GDD_cumsum double, Days_Since_Rain int"
-RUNNING_STATE = "year int, gdd_cum double, since_rain int"
+RUNNING_OUT = "site_id int, date date, GDD_cumsum double, Days_Since_Rain int, is_late boolean"
+RUNNING_STATE = "year int, gdd_cum double, since_rain int, last_day int"
 
 
 def stream_running_features(days: DataFrame, by: str = "site_id") -> DataFrame:
     """Yearly running GDD (base 5) and rows since the last rain, carried per
-    site in state across micro-batches.  Each site's days must arrive in date
-    order (e.g. one file per period with ``maxFilesPerTrigger``)."""
+    site in state across micro-batches.  The days of one micro-batch are sorted
+    (a site's days of one trigger are in memory together: bound them with
+    ``maxFilesPerTrigger``); a day at or before the site's last one comes out
+    with ``is_late`` and without values, and changes no state."""
     return days.groupBy(by).applyInPandasWithState(
         running_update, RUNNING_OUT, RUNNING_STATE, "append", GroupStateTimeout.NoTimeout)

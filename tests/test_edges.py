@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,14 +54,33 @@ def test_rain_intensity(spark):
 def test_percentile_thresholds(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 4, 8, 16, 40]], "Total_Pollen double")
     want = [1, 1.5, 2.5, 4, 7, 12, 16, 22, 28, 34, 40]
-    thr = D.severity_thresholds(df, approx=False).first()["thresholds"]
+    # the whole table and its groups are exact alike
+    thr = D.severity_thresholds(df).first()["thresholds"]
     assert [round(x, 6) for x in thr] == want
-    # per-site groups are exact by default (bounded by the calendar)
     per_site = D.severity_thresholds(df.withColumn("site_id", F.lit(1)), by=("site_id",)).first()["thresholds"]
     assert [round(x, 6) for x in per_site] == want
-    # a whole-table group defaults to the bounded-memory approximation (values from the data)
-    approx = D.severity_thresholds(df).first()["thresholds"]
+    # approximation only if asked for (values from the data)
+    approx = D.severity_thresholds(df, approx=True).first()["thresholds"]
     assert set(approx) <= {1.0, 2.0, 4.0, 8.0, 16.0, 40.0}
+    assert D.severity_thresholds(df.where("Total_Pollen < 0")).first()["thresholds"] is None
+
+
+def test_exact_percentiles_match_the_sorted_list(spark):
+    rng = np.random.default_rng(3)
+    values = np.round(rng.gamma(1.0, 50.0, 4000), 1)
+    df = spark.createDataFrame([(float(v), None) for v in values], "v double, none double").repartition(6)
+    fr = [0.0, 0.1, 0.25, 0.5, 0.75, 0.333, 0.9, 1.0]
+    got = D.exact_percentiles(df, ["v", "none"], fr)
+    assert got["none"] is None
+    assert np.allclose(got["v"], np.quantile(values, fr), rtol=0, atol=1e-9)
+
+
+def test_labels_without_groups_use_the_whole_table(spark):
+    df = spark.createDataFrame([(1, float(x)) for x in [0, 1, 2, 4]] + [(2, float(x)) for x in [8, 16, 40]], "site_id int, Total_Pollen double")
+    labels = {r["Total_Pollen"]: r["Pollen_Severity"] for r in D.label_percentile_severity(df, window=True).collect()}
+    assert labels == {0.0: 0, 1.0: 0, 2.0: 1, 4.0: 3, 8.0: 4, 16.0: 6, 40.0: 10}
+    flags = D.upper_quartile_flags(df, {"Total_Pollen": "high"}, window=True)
+    assert sorted(r["Total_Pollen"] for r in flags.where("high = 1").collect()) == [16.0, 40.0]
 
 
 def test_severity_biological_tree(spark):

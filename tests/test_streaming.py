@@ -39,7 +39,7 @@ def test_dedupe_keeps_one_copy(spark):
     rows = [_rows(1, h, h) for h in range(5)]
     df = spark.createDataFrame(rows, SCHEMA)
     df.unionAll(df).coalesce(1).write.parquet(src)
-    out = K.stream_dedupe(K.file_stream(spark, src, SCHEMA))
+    out = K.stream_dedupe(K.file_stream(spark, src, SCHEMA), keys=("event_id",))
     sink = K.scratch_path(spark, "t-k3-sink")
     K.run_to_sink(out, sink, K.scratch_path(spark, "t-k3-ckpt"))
     assert spark.read.parquet(sink).count() == 5
@@ -57,3 +57,26 @@ def test_running_state_continues_across_batches(spark):
     got = spark.read.parquet(sink).orderBy("date").collect()
     assert [r["GDD_cumsum"] for r in got] == [5.0, 10.0, 15.0, 20.0, 25.0, 30.0]
     assert [r["Days_Since_Rain"] for r in got] == [0, 1, 0, 1, 2, 3]
+
+
+def test_late_days_come_out_marked(spark):
+    src = K.scratch_path(spark, "t-k4-late")
+    schema = "site_id int, date date, TAVG double, PRCP double"
+    day = lambda i: (1, dt.date(2020, 1, 1) + dt.timedelta(days=i), 10.0, 0.0)
+    for chunk in ([day(0), day(2)], [day(1), day(3), day(3)]):
+        spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(src)
+    out = K.stream_running_features(K.file_stream(spark, src, schema, max_files=1))
+    sink = K.scratch_path(spark, "t-k4-late-sink")
+    K.run_to_sink(out, sink, K.scratch_path(spark, "t-k4-late-ckpt"))
+    got = sorted((r["date"].day, r["is_late"], r["GDD_cumsum"]) for r in spark.read.parquet(sink).collect())
+    assert [g[:2] for g in got] == [(1, False), (2, True), (3, False), (4, False), (4, True)]
+    assert [g[2] for g in got if not g[1]] == [5.0, 10.0, 15.0]
+
+
+def test_station_and_time_are_the_default_key(spark):
+    src = K.scratch_path(spark, "t-k3-key")
+    rows = [_rows(1, 1, 1), _rows(1, 1, 2), _rows(1, 2, 3)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(src)
+    sink = K.scratch_path(spark, "t-k3-key-sink")
+    K.run_to_sink(K.stream_dedupe(K.file_stream(spark, src, SCHEMA)), sink, K.scratch_path(spark, "t-k3-key-ckpt"))
+    assert spark.read.parquet(sink).count() == 2
