@@ -64,23 +64,27 @@ def validation_tail(train: DataFrame, keep: float = 0.9, by: Sequence[str] = SIT
 
 
 # I4 ---------------------------------------------------------------------------
-def expanding_folds(df: DataFrame, n_splits: int = 5, by: Sequence[str] = SITE,
-                    date_col: str = "date") -> DataFrame:
-    """Time-series CV: test size n // (n_splits + 1); fold f tests the block
-    starting at n - (n_splits - f) * size and trains on every earlier row.
-    One output row per (input row, fold it takes part in) with ``fold`` and
-    ``role``."""
+def fold_blocks(df: DataFrame, n_splits: int = 5, by: Sequence[str] = SITE,
+                date_col: str = "date", out: str = "block") -> DataFrame:
+    """Time-series CV without copies of rows: one integer a row.  The last
+    ``n_splits`` blocks of n // (n_splits + 1) rows are numbered from 1, all rows
+    before them are 0; fold f trains on block <= f and tests on block f + 1."""
     p = positions(df, by, date_col)
     size = F.floor(F.col("__n") / F.lit(n_splits + 1))
-    structs = []
-    for f in range(n_splits):
-        start = F.col("__n") - F.lit(n_splits - f) * size
-        role: Column = (F.when(F.col("__pos") < start, "train")
-                        .when(F.col("__pos") < start + size, "test"))
-        structs.append(F.struct(F.lit(f).alias("fold"), role.alias("role")))
-    arr = F.filter(F.array(*structs), lambda s: s["role"].isNotNull())
-    out = p.withColumn("__f", F.explode(arr))
-    return out.select(*[c for c in df.columns], F.col("__f.fold").alias("fold"), F.col("__f.role").alias("role"))
+    start = F.col("__n") - F.lit(n_splits) * size
+    block = F.when(F.col("__pos") < start, F.lit(0)).otherwise(F.floor((F.col("__pos") - start) / size) + 1)
+    return p.withColumn(out, block.cast("int")).drop("__pos", "__n")
+
+
+def expanding_folds(df: DataFrame, n_splits: int = 5, by: Sequence[str] = SITE,
+                    date_col: str = "date") -> DataFrame:
+    """The folds of ``fold_blocks`` in long form: one output row per (input row,
+    fold it takes part in) with ``fold`` and ``role``."""
+    b = fold_blocks(df, n_splits, by, date_col, "__block")
+    folds = F.sequence(F.greatest(F.col("__block") - 1, F.lit(0)), F.lit(n_splits - 1))
+    out = b.withColumn("fold", F.explode(folds))
+    role = F.when(F.col("__block") == F.col("fold") + 1, "test").otherwise("train")
+    return out.select(*df.columns, "fold", role.alias("role"))
 
 
 # I17 --------------------------------------------------------------------------

@@ -109,6 +109,26 @@ def q_allergens_model(spark, sf_dir):
     return J.score_allergens(FX.requests(spark, sf_dir), models, H.H5_COLUMNS)
 
 
+# J4 with fixed scorers ----------------------------------------------------------
+def _fixed(i):
+    return FX.LinearIndexScorer({"GDD_General": 0.25 * (i + 1), "Rain_Heavy": -0.5}, intercept=0.5 * i)
+
+
+_J4 = "\nUNION ALL ".join(
+    f"SELECT request_id, pos, date, '{t}' AS allergen_type, {i} AS idx, "
+    + Q.clip(f"{0.5 * i!r} + greatest(TAVG - 5.0E0, 0.0E0) * {0.25 * (i + 1)!r} + "
+             "(CASE WHEN PRCP = 0 THEN 0 WHEN PRCP <= 2.5 THEN 0 ELSE 1 END) * -0.5E0", 0, 10) + " AS score FROM inputs"
+    for i, t in enumerate(["Tree", "Grass", "Weed", "Ragweed"]))
+
+
+@query("score_allergens_fixed", "J4", with_views(_J4, "requests", extra=[("inputs", f"""
+SELECT request_id, pos, date, {Q.f_to_c('temp_avg_f')} AS TAVG, precipitation * 25.4E0 AS PRCP
+FROM (SELECT *, coalesce(temp_avg, (temp_max + temp_min) / 2) AS temp_avg_f FROM requests WHERE {VALID}) r""")]))
+def q_allergens_fixed(spark, sf_dir):
+    models = {t: _fixed(i) for i, t in enumerate(J.ALLERGENS_MODEL_ORDER)}
+    return J.score_allergens(FX.requests(spark, sf_dir), models)
+
+
 # J5 ---------------------------------------------------------------------------
 def _alloc_sql():
     m = "month(date)"
