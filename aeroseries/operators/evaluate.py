@@ -18,17 +18,23 @@ WEATHER_NAME_PARTS = ["Month_", "DOY_", "Day_of_Week", "Year_Numeric", "Month_Nu
                       "Season", "GDD", "Peak_Prox", "TMAX_lag_", "PRCP_lag_", "Temp_roll_", "Rain_roll_"]
 WEATHER_NAMES = ["TMAX", "TMIN", "AWND", "PRCP", "TAVG", "Temp_Range", "Is_Rainy",
                  "Temp_x_Spring", "Temp_x_Summer", "Rain_x_Wind"]
+# Further parts of the wider list, which the comparison of models
+# trained with and without pollen history goes by.
+WIDER_NAME_PARTS = ["VPD", "Ventilation_Index", "Shock_Index", "Days_Since_Rain", "Rain_Light", "Rain_Heavy",
+                    "Temp_x_Spring", "Temp_x_Summer", "Rain_x_Wind", "Dry_x_Wind", "AWND_lag_", "VPD_lag_", "VPD_roll_"]
 
 
-def is_weather_derivable(name: str) -> bool:
-    return name in WEATHER_NAMES or any(p in name for p in WEATHER_NAME_PARTS)
+def is_weather_derivable(name: str, wider: bool = False) -> bool:
+    parts = WEATHER_NAME_PARTS + (WIDER_NAME_PARTS if wider else [])
+    return name in WEATHER_NAMES or any(p in name for p in parts)
 
 
 # B14 --------------------------------------------------------------------------
-def classify_features(names: Sequence[str]) -> tuple[list[str], list[str]]:
+def classify_features(names: Sequence[str], wider: bool = False) -> tuple[list[str], list[str]]:
     """(weather-derivable, needs pollen history), de-duplicated, order kept."""
     uniq = list(dict.fromkeys(names))
-    return [n for n in uniq if is_weather_derivable(n)], [n for n in uniq if not is_weather_derivable(n)]
+    ok = {n: is_weather_derivable(n, wider) for n in uniq}
+    return [n for n in uniq if ok[n]], [n for n in uniq if not ok[n]]
 
 
 # I15 --------------------------------------------------------------------------
@@ -60,22 +66,22 @@ def residuals(model: PipelineModel, df: DataFrame, label: str,
 
 
 # I13 --------------------------------------------------------------------------
-def without_history(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def without_history(df: DataFrame, features: Sequence[str], wider: bool = False) -> DataFrame:
     """Pollen-history features set to 0, weather-derivable ones kept."""
-    return df.withColumns({f: F.lit(0.0) for f in features if not is_weather_derivable(f)})
+    return df.withColumns({f: F.lit(0.0) for f in classify_features(features, wider)[1]})
 
 
 def evaluate_without_history(models: dict[str, PipelineModel], test: DataFrame,
-                             features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+                             features: Sequence[str], wider: bool = False) -> tuple[DataFrame, DataFrame]:
     """Score each per-type model on its test rows with only weather-derivable
     features (the rest zeroed); D18 per type and the D20 macro average.
     Test rows are the tail cut before dropping incomplete rows; here rows
     missing a weather-derivable feature or the label are dropped."""
-    weather, _ = classify_features(features)
+    weather, _ = classify_features(features, wider)
     parts = []
     for lab, m in models.items():
         rows = test.na.drop(subset=weather + [lab])
-        p = m.transform(without_history(rows, features))
+        p = m.transform(without_history(rows, features, wider))
         parts.append(p.select(F.lit(lab).alias("pollen_type"), F.col(lab).alias("actual"),
                               clip(F.col("prediction"), 0, 10).alias("predicted")))
     allp = parts[0]
