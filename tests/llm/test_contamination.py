@@ -4,7 +4,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import SCHEMA, odd_rows, sentence
+from odd_rows import SCHEMA, odd_rows, sentence
 
 from aeroseries.llm import decontaminate as D
 

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from conftest import SCHEMA, odd_rows, sentence
+from odd_rows import SCHEMA, odd_rows, sentence
 
 from aeroseries.llm import jaccard_join as J
 from aeroseries.llm.components import components

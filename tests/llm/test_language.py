@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import odd_rows
+from odd_rows import odd_rows
 
 from aeroseries.llm import langid
 from pyspark.sql import functions as F

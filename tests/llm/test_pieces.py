@@ -7,7 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
-from conftest import odd_rows
+from odd_rows import odd_rows
 from pyspark.sql import functions as F
 
 from aeroseries.llm import kernels as K

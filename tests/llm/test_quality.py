@@ -5,7 +5,7 @@ import re
 
 import pytest
 import xxhash
-from conftest import odd_rows
+from odd_rows import odd_rows
 
 from aeroseries.llm import quality
 

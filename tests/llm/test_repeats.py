@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import SCHEMA, odd_rows
+from odd_rows import SCHEMA, odd_rows
 
 from aeroseries.llm import kernels as K
 from aeroseries.llm import substring_dedup, suffix_dedup

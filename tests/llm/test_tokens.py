@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from conftest import odd_rows
+from odd_rows import odd_rows
 from tokenizers import Tokenizer
 
 from aeroseries.llm import kernels as K
