@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aeroseries.operators import features as H
 from aeroseries.sources import fixtures as FX
-from conftest import SF0001
+from data_paths import SF0001
 
 
 def _rows(df):

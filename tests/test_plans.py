@@ -7,7 +7,7 @@ import pytest
 
 from aeroseries.operators import features as H
 from aeroseries.sources import fixtures as FX
-from conftest import SF0001
+from data_paths import SF0001
 
 
 def _plan(df):
