@@ -171,8 +171,10 @@ def season_progress(doy: Column, start: int) -> Column:
 
 # G17 ------------------------------------------------------------------------
 def gdd_trigger(gdd_cumsum: Column, level: float) -> Column:
-    """Running GDD above ``level``; the running sum is added in date order."""
-    return flag(gdd_cumsum > level)
+    """Running GDD above ``level``, compared at 1e-9.  The original adds with
+    compensation, so that a sum of exactly ``level`` isn't above it; a plain sum
+    can be off in the last digit there, and engines add in different orders."""
+    return flag(F.round(gdd_cumsum, 9) > level)
 
 
 # G18 ------------------------------------------------------------------------
