@@ -105,7 +105,9 @@ def linked(h: np.ndarray, first: np.ndarray, threshold: float) -> np.ndarray:
         table = np.zeros((n, int(group[b - 1]) - lo + 1), np.float32)
         table[owner[a:b], group[a:b] - lo] = 1
         common += table @ table.T
-    return common * (1 + threshold) >= threshold * (size[:, None] + size[None, :]) - 1e-6
+    # Whole counts below 2**24 are exact in float32; the comparison isn't.
+    least = threshold / (1 + threshold) * (size[:, None] + size[None, :])
+    return common.astype(np.float64) >= least * (1 - 1e-9)
 
 
 def verifier(size: int, threshold: float):

@@ -3,10 +3,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from odd_rows import SCHEMA, odd_rows, sentence
 
 from aeroseries.llm import jaccard_join as J
+from aeroseries.llm import kernels as K
 from aeroseries.llm.components import components
 
 WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
@@ -54,6 +56,27 @@ def test_matches_brute_force(spark, block):
     assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links").collect()), key=str) == plain(rows)
 
 
+@pytest.mark.parametrize("total", [15, 30, 35, 50, 4995])
+def test_ties_are_links(total):
+    """Texts of ``total`` shingles and of their first four fifths, and of one less."""
+    words = [f"w{i}" for i in range(total + 4)]
+    cut = total * 4 // 5 + 4
+    texts = [" ".join(words), " ".join(words[:cut]), " ".join(["v", *words[1:cut - 1]])]
+    h, first, _, _ = J.shingles(*K.flat(pa.array(texts)), 5)
+    sets = [shingles(t) for t in texts]
+    want = [[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]
+    assert want[0][1] and not want[0][2]
+    got = J.linked(h, first, 0.8)
+    assert all(got[i, j] == want[i][j] for i in range(3) for j in range(3) if i != j)
+
+
+def test_a_tie_is_one_class(spark):
+    words = [f"w{i}" for i in range(19)]
+    rows = [(1, " ".join(words), None, None, None), (2, " ".join(words[:16]), None, None, None)]
+    got = J.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(tuple(r) for r in got.select("doc_id", "class_id", "n_links").collect()) == plain(rows) == [(1, 1, 1), (2, 1, 1)]
+
+
 def test_keep_first(spark, docs, clashing, empty):
     want = plain(odd_rows())
     kept = J.keep_first(clashing)
