@@ -56,7 +56,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_line_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_figures(table(spark, sf_dir, "documents"))
+    return line_dedup.line_figures(table(spark, sf_dir, "documents"), whole=True)
 
 
 @query("op10_decontaminate", decontaminate.SQL)
