@@ -109,13 +109,14 @@ def pretokens(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """The library's ids of whole batches; special tokens in a text are ordinary text."""
+    """The library's ids of whole batches; with ``split_special`` special tokens in a text are ordinary text."""
 
-    def __init__(self, path: str, end_id: int, cache: int = 1_000_000):
+    def __init__(self, path: str, end_id: int, cache: int = 1_000_000, split_special: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = split_special
+        self.literals = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if not (split_special and t.special)]
         self.model, self.end_id = self.tokenizer.model, end_id
         # The library's byte alphabet: bytes that aren't printable become characters from U+0100 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -127,6 +128,7 @@ class Encoder:
         """(ids, offsets) of UTF-8 texts, the end id after each."""
         plain = plain_documents(buf, off)
         data = buf.tobytes()
+        plain[self._with_literals(data, off)] = False
         start = pretokens(buf, off) if plain.all() else self._plain_starts(buf, off, plain)
         end = np.append(start[1:], buf.size)
         if not plain.all():
@@ -147,6 +149,19 @@ class Encoder:
             ids, at = np.concatenate(parts), np.concatenate([[0], np.cumsum([p.size for p in parts])])
         return np.insert(ids, at[1:], self.end_id), at + np.arange(at.size)
 
+    def _with_literals(self, data: bytes, off: np.ndarray) -> list[int]:
+        """The documents that hold an added token's literal, which the library takes as one id."""
+        found = []
+        for literal in self.literals:
+            at = data.find(literal)
+            while at >= 0:
+                doc = int(np.searchsorted(off, at, "right")) - 1
+                inside = at + len(literal) <= off[doc + 1]
+                if inside:
+                    found.append(doc)
+                at = data.find(literal, int(off[doc + 1]) if inside else at + 1)
+        return found
+
     @staticmethod
     def _plain_starts(buf: np.ndarray, off: np.ndarray, plain: np.ndarray) -> np.ndarray:
         use = np.repeat(plain, np.diff(off))
@@ -256,7 +271,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
         task = TaskContext.get()
         own = f"{folder}/.shard-{task.partitionId():05d}-{task.taskAttemptId()}"
         writer = sink = None
-        encode = Encoder(tokenizer, end_id)
+        encode = Encoder(tokenizer, end_id, split_special=False)
         for batch in batches:
             for part in K.slices(batch, "text", 1 << 21):
                 if writer is None:

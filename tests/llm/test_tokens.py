@@ -33,6 +33,17 @@ def test_the_librarys_ids(library):
     assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_as_the_library_has_them(spark):
+    default = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|> a", "one<|endoftext|>two <|endoftext|>", "<|endof", "text|>", "漢 <|endoftext|>", "plain", "", "<|endoftext|>"]
+    want = [default.encode(x, add_special_tokens=False).ids + [2] for x in texts]
+    assert want[-1] == [50256, 2]
+    ids, off = T.Encoder(PATH, 2, split_special=False)(*K.flat(pa.array(texts)))
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
+    got = T.store_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(want)}
+
+
 @pytest.mark.parametrize("n", [1, 7, 8, 9, 1000])
 def test_planes(n):
     ids = np.random.default_rng(n).integers(0, 1 << 20, n).astype(np.uint32)
