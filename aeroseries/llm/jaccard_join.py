@@ -1,12 +1,12 @@
-"""N-gram Jaccard self-join through a MinHash LSH forest (operator 9).
+"""N-gram Jaccard self-join through MinHash bands (operator 9).
 
 Words are runs of ASCII letters and digits and all characters beyond ASCII,
 with A-Z lower-cased; a document is the set of its five-word shingles (all its
 words where they are fewer).  Documents with equal word sequences fold into one
-node.  Each tree of the forest sorts the nodes by a signature of up to
-``max_depth`` MinHash values; neighbours in its prefix trie are asked for
-ever shorter matched prefixes, until the pairs at the threshold are found with
-the target recall (``prefix_depth``).  Nodes that share such a prefix in any
+node.  Fixed banding stands in for an LSH forest: of up to ``max_depth`` MinHash
+values a tree, only the longest prefix is computed that finds the pairs at the
+threshold with the target recall (``prefix_depth``, from the parameters alone),
+and compared by its hash.  Nodes that share such a prefix in any
 tree form groups, and inside a group every pair is verified exactly by its
 shared shingles; groups beyond ``block`` nodes are verified in pairs of blocks.
 No pair leaves its task: a node hands on its number of links and one edge.
