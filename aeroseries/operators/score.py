@@ -136,7 +136,7 @@ def score_allergens(requests: DataFrame, models: dict[str, object],
                     keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
     """Per-type models on the request features, each clipped; long form
     (keys, date, allergen_type, idx, score) with ``idx`` the model order."""
-    return model_entries(requests, models, feature_names, keys).select(*keys, "date", F.inline("entries"))
+    return model_entries(requests, models, feature_names, keys).select(*keys, "date", F.inline_outer("entries"))
 
 
 # J5 ---------------------------------------------------------------------------
@@ -160,7 +160,7 @@ def season_entries(daily: DataFrame) -> DataFrame:
 
 def allocate_by_season(daily: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
     """J5 in long form, like J4."""
-    return season_entries(daily).select(*keys, "date", F.inline("entries"))
+    return season_entries(daily).select(*keys, "date", F.inline_outer("entries"))
 
 
 # J6 ---------------------------------------------------------------------------
@@ -194,7 +194,7 @@ def ranked_allergens(df: DataFrame) -> DataFrame:
 def allergen_breakdown(scores: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
     """One row per allergen of the rows of ``season_entries`` or ``model_entries``."""
     r = ranked_allergens(scores)
-    return r.select(*keys, "date", "total_severity", "primary_allergen", "alert_level", F.inline("allergens"))
+    return r.select(*keys, "date", "total_severity", "primary_allergen", "alert_level", F.inline_outer("allergens"))
 
 
 def allergen_response(scores: DataFrame, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:

@@ -27,3 +27,11 @@ def test_scan_is_pruned(spark):
     lineitem = [ln for ln in plan.splitlines() if "lineitem.parquet" in ln][0]
     # weather only needs quantity, line number, discount, tax, supplier and ship date
     assert "l_extendedprice" not in lineitem and "l_returnflag" not in lineitem
+
+
+def test_scores_are_not_copied_into_filters(spark):
+    # An inner generator over the computed array would push a size test, with the whole scoring expression in it, below every projection.
+    from aeroseries.plans import QUERIES
+    for name in ("allocate_by_season", "allergen_breakdown", "score_allergens_fixed"):
+        filters = re.findall(r"Filter .*", _plan(QUERIES[name](spark, SF0001)))
+        assert filters and max(map(len, filters)) < 2000, name
