@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.llm import decontaminate, jaccard_join, langid, line_dedup, quality, resampling, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, token_store, url_filter
+from aeroseries.llm import conversation_repair, decontaminate, jaccard_join, langid, line_dedup, quality, resampling, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, token_store, url_filter
 from aeroseries.llm.registry import ORACLES, QUERIES, query, table
 from aeroseries.llm.vocab import public
 
@@ -78,3 +78,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_token_counts")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public("byte_bpe_50k.json"))
+
+
+@query("op11_conversation_repair", conversation_repair.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_figures(conversation_repair.damage(table(spark, sf_dir, "conversations")))

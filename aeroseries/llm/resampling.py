@@ -233,14 +233,14 @@ def resample(docs: DataFrame, target: DataFrame, share_pct: int = 10, min_words:
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 #: The checksum of a word, bit by bit: -1 stands for one step of the polynomial.
-_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(cast(length(hx) // 2 AS BIGINT)),
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(cast(length(hx) // 2 AS BIGINT)),
     lambda i: [(instr('0123456789ABCDEF', substr(hx, cast(2 * i + 1 AS BIGINT), 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hx, cast(2 * i + 2 AS BIGINT), 1)) - 1, -1, -1, -1, -1, -1, -1, -1, -1]))),
     lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
 SQL = f"""
 WITH dw AS (SELECT doc_id, unnest({_WORDS}) AS w FROM documents),
 tw AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
 seen AS (SELECT w, hex(encode(w)) AS hx FROM (SELECT DISTINCT w FROM dw UNION SELECT DISTINCT w FROM tw) x),
-coded AS (SELECT w, {_CRC} % {BUCKETS} AS b FROM seen),
+coded AS (SELECT w, {CRC_SQL} % {BUCKETS} AS b FROM seen),
 db AS (SELECT doc_id, b FROM dw JOIN coded USING (w)),
 s AS (SELECT b, count(*) AS s FROM db GROUP BY b), t AS (SELECT b, count(*) AS t FROM tw JOIN coded USING (w) GROUP BY b),
 al AS (SELECT (SELECT count(*) FROM dw)::DOUBLE AS sn, (SELECT count(*) FROM tw)::DOUBLE AS tn),
