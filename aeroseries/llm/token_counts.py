@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from aeroseries.llm import kernels as K
 from aeroseries.llm import token_store as S
-from aeroseries.llm.store import write_table
+from aeroseries.llm.store import remove, write_table
 
 K.ship_by_value(__name__)
 CHUNK, OVERLAP, WIDEN = 1 << 15, 256, 8
@@ -221,7 +221,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, chunk: int = CHUN
         kept, _ = write_table(texts.where(huge).select("doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("row")), "huge-texts")
         left = kept
         while left.limit(1).count():
-            found, _ = write_table(_spliced(_encoded(_cut(left, chunk, overlap), path, overlap)), "spliced")
+            # Read three times below; encoded once.
+            encoded, encoded_path = write_table(_encoded(_cut(left, chunk, overlap), path, overlap), "chunk-counts")
+            found, _ = write_table(_spliced(encoded), "spliced")
+            remove(docs.sparkSession, encoded_path)
             parts.append(kept.join(found.where("n_tokens is not null"), "row").select("doc_id", "n_bytes", "n_tokens"))
             left = left.join(found.where("n_tokens is null").select("row"), "row", "left_semi")
             overlap *= widen
