@@ -1,4 +1,7 @@
-"""Model fitting and selection on Spark ML.
+"""Model fitting and selection.
+
+Forests, ridge and linear models are Spark ML; boosted trees are ``boosting``,
+linear folds ``foldstats``.
 
 Every fit is a distributed Spark ML job over the feature frame; the driver only
 starts the (model, fold) fits, a few at a time, and keeps small metric rows.
@@ -13,29 +16,36 @@ import math
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aeroseries.operators.boosting import ALL_BLOCKS, BoostedModel, Settings, Task, bin_table, boost
+from aeroseries.operators.foldstats import linear_folds
 from aeroseries.operators.metrics import metrics_full
+from aeroseries.session import drop_tables
 
-# Reference settings (I5, I9) under Spark's names; the least child
-# weight is the least number of rows in a leaf, and a minimum gain has no exact
-# counterpart (its unit differs), so it is left at 0.  ``small_*`` are for tests.
+# Reference settings (I5) under Spark's names.  ``small_*`` are for tests.
 PRESETS = {
     "rf_baseline": ("rf", dict(numTrees=100, maxDepth=15, minInstancesPerNode=2, seed=42)),
     "rf_weather_only": ("rf", dict(numTrees=200, maxDepth=20, minInstancesPerNode=2, seed=42)),
-    "gbt_refined": ("gbt", dict(maxIter=500, stepSize=0.05, maxDepth=7, minInstancesPerNode=3, subsamplingRate=0.8, seed=42)),
-    "gbt_abiotic": ("gbt", dict(maxIter=1000, stepSize=0.02, maxDepth=8, minInstancesPerNode=5, subsamplingRate=0.8, seed=42)),
-    "gbt_baseline": ("gbt", dict(maxIter=1000, stepSize=0.03, maxDepth=6, minInstancesPerNode=5, subsamplingRate=0.85, seed=42)),
     "small_rf": ("rf", dict(numTrees=20, maxDepth=8, minInstancesPerNode=2, seed=42)),
     "small_gbt": ("gbt", dict(maxIter=20, stepSize=0.1, maxDepth=5, subsamplingRate=0.8, seed=42)),
     "linear": ("linear", dict(regParam=0.0)),
 }
 
+# Reference settings of boosted trees (I9), and their patience.
+BOOSTED = {
+    "refined": (Settings(rounds=500, rate=0.05, depth=7, min_child=3, rows=0.8, columns=0.8, min_gain=0.1, l1=0.01, l2=1.0), 50),
+    "abiotic": (Settings(rounds=1000, rate=0.02, depth=8, min_child=5, rows=0.8, columns=0.8, min_gain=0.2, l1=0.1, l2=1.5), 50),
+    "baseline": (Settings(rounds=1000, rate=0.03, depth=6, min_child=5, rows=0.85, columns=0.85, level_columns=0.7, min_gain=0.05, l1=0.05, l2=1.5), 100),
+}
+
 # Candidates of the cross-validated choice (I8): forest, ridge, linear.
 CV_CANDIDATES = {
     "rf": PRESETS["rf_baseline"],
@@ -43,13 +53,13 @@ CV_CANDIDATES = {
     "linear": PRESETS["linear"],
 }
 
-# Boosted-tree search grid (I10); a seeded sample of it is evaluated.
-GBT_GRID = {
-    "maxIter": [200, 300, 400],
-    "stepSize": [0.03, 0.05, 0.07],
-    "maxDepth": [5, 7, 9],
-    "minInstancesPerNode": [1, 3, 5],
-    "subsamplingRate": [0.7, 0.8, 0.9],
+# Search grids of boosted trees (I10), by feature set, with the number of draws.
+SEARCH_GRIDS = {
+    "refined": (dict(rounds=[200, 300, 400], rate=[0.03, 0.05, 0.07], depth=[5, 7, 9], min_child=[1, 3, 5], rows=[0.7, 0.8, 0.9],
+                     columns=[0.7, 0.8, 0.9], min_gain=[0, 0.1, 0.2], l1=[0, 0.01, 0.1], l2=[0.5, 1.0, 2.0]), 30),
+    "baseline": (dict(rounds=[500, 800, 1000, 1200], rate=[0.01, 0.02, 0.03, 0.05], depth=[5, 6, 7, 8], min_child=[3, 5, 7, 10],
+                      rows=[0.75, 0.8, 0.85, 0.9], columns=[0.75, 0.8, 0.85, 0.9], level_columns=[0.6, 0.7, 0.8],
+                      min_gain=[0, 0.05, 0.1, 0.15], l1=[0, 0.01, 0.05, 0.1], l2=[1.0, 1.5, 2.0, 2.5]), 50),
 }
 
 
@@ -99,22 +109,12 @@ def best_round(errors: Sequence[float], patience: int = 50) -> int:
     return best_i + 1
 
 
-def fit_boosted(df: DataFrame, features: Sequence[str], label: str, preset: str = "small_gbt",
-                validation_col: str = "is_validation", patience: int = 50, **overrides) -> PipelineModel:
-    """Boosted trees with patience-based early stopping: fit all rounds on the
-    non-validation rows, score every round on the validation rows, refit with
-    the best number of rounds."""
-    kind, params = PRESETS[preset]
-    params = {**params, **overrides}
-    fit_rows = df.filter(~F.col(validation_col))
-    val_rows = df.filter(F.col(validation_col))
-    model = pipeline(features, label, "gbt", **params).fit(fit_rows)
-    gbt = model.stages[-1]
-    errs = gbt.evaluateEachIteration(model.stages[0].transform(val_rows), "squared")
-    n = best_round(errs, patience)
-    if n == params["maxIter"]:
-        return model
-    return pipeline(features, label, "gbt", **{**params, "maxIter": n}).fit(fit_rows)
+def fit_boosted(df: DataFrame, features: Sequence[str], label: str, preset: str = "refined",
+                validation_col: str = "is_validation", patience: int | None = None, keys: Sequence[str] = ("site_id", "date"),
+                **overrides) -> BoostedModel:
+    """Boosted trees with patience-based early stopping on the rows marked in
+    ``validation_col``; the model keeps the rounds up to its best one."""
+    return train_all_types(df, features, [label], preset, validation_col, patience, keys, **overrides)[label]
 
 
 # I8 ---------------------------------------------------------------------------
@@ -128,8 +128,9 @@ def fit_spec(df: DataFrame, features: Sequence[str], label: str, spec: tuple[str
 
 def cross_validate(blocks: DataFrame, features: Sequence[str], label: str,
                    specs: dict[str, tuple[str, dict]], n_splits: int = 5, parallelism: int = 4) -> DataFrame:
-    """MAE per (spec, fold) on the expanding folds of ``splits.fold_blocks``,
-    ``parallelism`` fits at a time.  Returns a small table (spec, fold, mae)."""
+    """MAE per (spec, fold) on the expanding folds of ``splits.fold_blocks``: all
+    linear and ridge folds from two passes, other kinds ``parallelism`` fits at a
+    time.  Returns a small table (spec, fold, mae)."""
     def one(task: tuple[str, int]) -> tuple:
         name, f = task
         m = fit_spec(blocks.filter(F.col("block") <= f), features, label, specs[name])
@@ -137,8 +138,11 @@ def cross_validate(blocks: DataFrame, features: Sequence[str], label: str,
                .agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")).first()["mae"])
         return name, f, float(mae) if mae is not None else None
 
+    alphas = {n: float(p["alpha"]) if k == "ridge" else 0.0 for n, (k, p) in specs.items()
+              if k == "ridge" and set(p) == {"alpha"} or k == "linear" and not any(p.values())}
+    rows = linear_folds(blocks, features, label, alphas, n_splits) if alphas else []
     with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(one, [(name, f) for name in specs for f in range(n_splits)]))
+        rows += list(pool.map(one, [(name, f) for name in specs if name not in alphas for f in range(n_splits)]))
     return blocks.sparkSession.createDataFrame(rows, "spec string, fold int, mae double")
 
 
@@ -167,33 +171,70 @@ def sample_grid(grid: dict[str, list], n_draws: int, seed: int = 42) -> list[dic
     return out
 
 
-def random_search(train: DataFrame, blocks: DataFrame, features: Sequence[str], label: str,
-                  n_draws: int = 30, grid: dict[str, list] = GBT_GRID, seed: int = 42,
-                  n_splits: int = 5, parallelism: int = 4):
-    """``n_draws`` different points of the grid, each on every fold; no axis is overwritten."""
-    specs = {f"draw_{i:02d}": ("gbt", {**p, "seed": seed}) for i, p in enumerate(sample_grid(grid, n_draws, seed))}
-    return select_by_cv(train, blocks, features, label, specs, n_splits, parallelism)
+def search_fits(draws: Sequence[dict]) -> list[tuple[dict, list[int]]]:
+    """Draws that differ only in ``rounds`` are prefixes of one fit: (settings with the most rounds, the draws it serves)."""
+    groups: dict[tuple, list[int]] = {}
+    for i, d in enumerate(draws):
+        groups.setdefault(tuple(sorted((k, v) for k, v in d.items() if k != "rounds")), []).append(i)
+    return [({**dict(key), "rounds": max(draws[i]["rounds"] for i in own)}, own) for key, own in groups.items()]
+
+
+def random_search(blocks: DataFrame, features: Sequence[str], label: str, n_draws: int | None = None,
+                  grid: str | dict[str, list] = "refined", seed: int = 42, n_splits: int = 5, parallelism: int = 4,
+                  keys: Sequence[str] = ("site_id", "date")) -> tuple[BoostedModel, DataFrame]:
+    """``n_draws`` points of a grid, each by its mean MAE over the expanding folds
+    of ``blocks`` (``splits.fold_blocks``); the best is refit on all rows.
+
+    The folds of a fit advance in the same jobs, and every round's error is known,
+    so a smaller number of rounds costs no fit of its own.  Returns the model and
+    one row a draw: its settings, cv_mae, cv_std, fits and chosen.
+    """
+    if isinstance(grid, str):
+        grid, n = SEARCH_GRIDS[grid]
+        n_draws = n_draws or n
+    draws = sample_grid(grid, n_draws or 30, seed)
+    data = bin_table(blocks, features, [label], keys, "block")
+    fits = search_fits(draws)
+
+    def run(one: tuple[dict, list[int]]) -> list[tuple]:
+        settings, own = one
+        models = boost(data, [Task(0, Settings(**settings, seed=seed), f) for f in range(n_splits)])
+        errors = [m.errors for m in models if m.errors]
+        return [(i, [e[draws[i]["rounds"] - 1][1] for e in errors]) for i in own]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = dict(x for part in pool.map(run, fits) for x in part)
+    axes = sorted(grid)
+    rows = [(f"draw_{i:02d}", *[float(draws[i][a]) for a in axes], float(np.mean(e)) if e else None, float(np.std(e, ddof=1)) if len(e) > 1 else None, len(fits) * n_splits) for i, e in sorted(found.items())]
+    best = min((r for r in rows if r[-3] is not None), key=lambda r: (r[-3], r[0]))
+    table = blocks.sparkSession.createDataFrame([(*r, r is best) for r in rows], "spec string, " + ", ".join(f"{a} double" for a in axes) + ", cv_mae double, cv_std double, fits int, chosen boolean")
+    model = boost(data, [Task(0, Settings(**draws[int(best[0][5:])], seed=seed))])[0]
+    drop_tables(blocks.sparkSession, data.path)
+    return model, table
 
 
 # I11 --------------------------------------------------------------------------
-def train_all_types(df: DataFrame, features: Sequence[str], labels: Sequence[str],
-                    preset: str = "small_gbt") -> dict[str, PipelineModel]:
-    """One model per label, each on its own complete rows, over one cached frame."""
-    df = df.persist()
-    try:
-        out = {}
-        for lab in labels:
-            rows = df.na.drop(subset=list(features) + [lab])
-            out[lab] = fit(rows, features, lab, preset)
-        return out
-    finally:
-        df.unpersist()
+def train_all_types(df: DataFrame, features: Sequence[str], labels: Sequence[str], preset: str = "abiotic",
+                    validation_col: str | None = "is_validation", patience: int | None = None,
+                    keys: Sequence[str] = ("site_id", "date"), **overrides) -> dict[str, BoostedModel]:
+    """One boosted model per label, each on the rows that have its label: binned
+    once, and grown in the same jobs.  Without a ``validation_col`` all rounds
+    are kept."""
+    settings, own = BOOSTED[preset]
+    settings = replace(settings, **overrides)
+    data = bin_table(df.na.drop(subset=list(features)), features, labels, keys, validation_col)
+    upto = 0 if validation_col else ALL_BLOCKS
+    models = boost(data, [Task(i, settings, upto) for i in range(len(labels))], (patience or own) if validation_col else None)
+    drop_tables(df.sparkSession, data.path)
+    return dict(zip(labels, models))
 
 
 # F2 helper --------------------------------------------------------------------
 def feature_importances(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    est = model.stages[-1]
     spark = SparkSession.getActiveSession()
+    if isinstance(model, BoostedModel):
+        return spark.createDataFrame(model.importances(), "feature string, importance double")
+    est = model.stages[-1]
     if hasattr(est, "featureImportances"):
         vals = est.featureImportances.toArray().tolist()
     else:

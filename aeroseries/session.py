@@ -84,6 +84,18 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     recovered from the files instead of replaying the whole plan, and later
     scans still prune columns and push filters down.
     """
+    return scratch_table(df, name)[0]
+
+
+def scratch_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written in the shared folder and read again, and its path."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_tables(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables that nothing reads any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

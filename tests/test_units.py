@@ -20,8 +20,8 @@ def test_best_round_patience():
 
 
 def test_sample_grid_deterministic():
-    a = ML.sample_grid(ML.GBT_GRID, 5, seed=1)
-    assert a == ML.sample_grid(ML.GBT_GRID, 5, seed=1)
+    a = ML.sample_grid(ML.SEARCH_GRIDS["refined"][0], 5, seed=1)
+    assert a == ML.sample_grid(ML.SEARCH_GRIDS["refined"][0], 5, seed=1)
     assert len({tuple(sorted(d.items())) for d in a}) == 5
 
 
