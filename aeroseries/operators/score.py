@@ -139,6 +139,45 @@ def score_allergens(requests: DataFrame, models: dict[str, object],
     return model_entries(requests, models, feature_names, keys).select(*keys, "date", F.inline_outer("entries"))
 
 
+# J1, J2, J4 through the registry ------------------------------------------------
+def _named(df: DataFrame, resolved) -> DataFrame:
+    return df.withColumns({"model": F.lit(resolved.name), "version": F.lit(resolved.version)})
+
+
+def score_daily_resolved(requests: DataFrame, registry, total: str = "Total_Pollen", with_inputs: bool = False) -> DataFrame:
+    """J1 with the model that the registry resolves for the total, and its name and version."""
+    m = resolved_total(registry, total)
+    return _named(score_daily(requests, m, m.features, with_inputs=with_inputs), m)
+
+
+def score_weekly_resolved(requests: DataFrame, registry, total: str = "Total_Pollen") -> DataFrame:
+    """J2 with the model that the registry resolves for the total, and its name and version."""
+    m = resolved_total(registry, total)
+    return _named(score_weekly(requests, m, m.features), m)
+
+
+def resolved_total(registry, total: str = "Total_Pollen"):
+    """The total's model; without one nothing can be scored."""
+    models = registry.load()
+    if total not in models:
+        raise LookupError(f"the registry has no model for {total}")
+    return models[total]
+
+
+def score_allergens_resolved(requests: DataFrame, registry, keys: Sequence[str] = ("request_id", "pos")) -> DataFrame:
+    """J4 with the model that the registry resolves for each allergen; types
+    without one have no rows.  Where no type has one, the day's severity is
+    split by season instead (J5)."""
+    models = {t: m for t, m in registry.load().items() if t in ALLERGENS_MODEL_ORDER}
+    if not models:
+        daily = score_daily_resolved(requests, registry, with_inputs=True)
+        return allocate_by_season(daily, keys).withColumns({"model": F.lit("season"), "version": F.lit(0)})
+    names = list(dict.fromkeys(f for m in models.values() for f in m.features))
+    rows = score_allergens(requests, models, names, keys)
+    used = lambda what: F.element_at(F.create_map(*[x for t, m in models.items() for x in (F.lit(t), F.lit(getattr(m, what)))]), F.col("allergen_type"))
+    return rows.withColumns({"model": used("name"), "version": used("version")})
+
+
 # J5 ---------------------------------------------------------------------------
 def season_entries(daily: DataFrame) -> DataFrame:
     """Without allergen models: the day's severity split by the month's shares
