@@ -80,3 +80,52 @@ def test_station_and_time_are_the_default_key(spark):
     sink = K.scratch_path(spark, "t-k3-key-sink")
     K.run_to_sink(K.stream_dedupe(K.file_stream(spark, src, SCHEMA)), sink, K.scratch_path(spark, "t-k3-key-ckpt"))
     assert spark.read.parquet(sink).count() == 2
+
+
+DAYS = "site_id int, date date, TAVG double, PRCP double"
+
+
+def _days(spark, path, chunks):
+    for i, chunk in enumerate(chunks):
+        spark.createDataFrame(chunk, DAYS).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_days_in_any_order_come_out_in_order(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    first = dt.date(2020, 12, 1)
+    rain = {3, 17, 40}
+    day = lambda s, i: (s, first + dt.timedelta(days=i), None if i == 11 else 5.0 + s + i % 4, None if i == 20 else float(i in rain))
+    order = [7, 2, 0, 5, 1, 3, 4, 6, 12, 9, 8, 11, 10, 13, 20, 16, 15, 17, 14, 19, 18, *range(21, 60)]
+    chunks = [[day(s, i) for i in order[a:a + 7] for s in (1, 2)] for a in range(0, 60, 7)]
+    chunks[4].append((1, first + dt.timedelta(days=order[30]), 99.0, 9.0))  # a held day again
+    src, sink = K.scratch_path(spark, "t-k4o"), K.scratch_path(spark, "t-k4o-sink")
+    _days(spark, src, chunks)
+    q = K.stream_ordered_features(K.file_stream(spark, src, DAYS, max_files=1), "10 days")
+    K.run_to_sink(q, sink, K.scratch_path(spark, "t-k4o-ckpt"), partitions=2)
+    rows = spark.read.parquet(sink).collect()
+    late = [(r["site_id"], r["date"]) for r in rows if r["is_late"]]
+    assert late == [(1, first + dt.timedelta(days=order[30]))]
+    for s in (1, 2):
+        got = sorted((r["date"], r["GDD_cumsum"], r["Days_Since_Rain"]) for r in rows if r["site_id"] == s and not r["is_late"])
+        want, gdd, since, year = [], 0.0, -1, None
+        for i in range(49):  # the watermark is ten days behind the 60th day
+            _, date, tavg, prcp = day(s, i)
+            gdd = 0.0 if date.year != year else gdd
+            year, gdd = date.year, gdd + (max(tavg - 5.0, 0.0) if tavg is not None else 0.0)
+            since = 0 if prcp else since + 1
+            want.append((date, gdd if tavg is not None else None, since))
+        assert got == want
+
+
+def test_open_days_are_current_and_merged_once(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    src, sink = K.scratch_path(spark, "t-k2u"), K.scratch_path(spark, "t-k2u-sink")
+    batches = [[_rows(1, 1, 1, 2.0), _rows(2, 1, 2, 4.0)], [_rows(2, 5, 3, 8.0)], [_rows(3, 2, 4, 1.0), _rows(2, 9, 5, 0.0)]]
+    for b in batches:
+        spark.createDataFrame(b, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    K.stream_daily_current(K.file_stream(spark, src, SCHEMA, max_files=1), sink, K.scratch_path(spark, "t-k2u-ckpt"), delay="5 days", partitions=2)
+    read = lambda: {r["day"].day: (r["mean_value"], r["n"]) for r in spark.read.parquet(sink).collect()}
+    assert read() == {1: (2.0, 1), 2: (4.0, 3), 3: (1.0, 1)}
+    again = spark.read.parquet(sink).where("day = date'2024-01-02'").select(F.col("day").cast("date"), "site_id", "metric", "mean_value", "n")
+    K.merge_days(sink, ["day", "site_id", "metric"])(again, 99)
+    assert read() == {1: (2.0, 1), 2: (4.0, 3), 3: (1.0, 1)}
