@@ -43,6 +43,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BINS = 64
 SAVE_EVERY = 20
 LEAST_GAIN = 1e-6
+#: Sums of all tasks up to this size may meet in the driver.
+DRIVER_BYTES = 16 << 20
 ALL_BLOCKS = 1 << 30
 
 
@@ -269,8 +271,13 @@ def _margins(part: pa.RecordBatch, orders: Sequence[dict], bins: np.ndarray) ->
     return out
 
 
-def _level(rows: DataFrame, orders: dict[int, dict], every: Sequence[dict], widths: tuple[int, int], bins: int) -> list:
-    """One level of several fits: the collected (fit, column, best splits); column -1 has totals and errors."""
+def _level(rows: DataFrame, tasks: int, orders: dict[int, dict], every: Sequence[dict], widths: tuple[int, int], bins: int) -> list[tuple]:
+    """One level of several fits: (fit, column, best splits); column -1 has totals and errors.
+
+    The tasks' sums meet by column in one more stage.  Where all of them
+    together have a bounded size, that stage is left out and the driver adds
+    them up.
+    """
     nf, nl = widths
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,15 +316,24 @@ def _level(rows: DataFrame, orders: dict[int, dict], every: Sequence[dict], widt
         out += [(m, int(c), hist[m][0][:, j].tobytes(), hist[m][1][:, j].tobytes()) for m, o in orders.items() for j, c in enumerate(o["columns"])]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["fit", "col", "g", "n"])
 
+    def best(m: int, c: int, g: list[bytes], n: list[bytes]) -> np.ndarray:
+        total = sum(np.frombuffer(b, float) for b in g)
+        return total if c < 0 else best_splits(total.reshape(-1, bins), sum(np.frombuffer(b, float) for b in n).reshape(-1, bins), orders[m]["s"])
+
     def split(table: pa.Table) -> pa.Table:
         m, c = table.column("fit")[0].as_py(), table.column("col")[0].as_py()
-        total = lambda name: sum(np.frombuffer(b.as_py(), float) for b in table.column(name))
-        g = total("g")
-        best = g if c < 0 else best_splits(g.reshape(-1, bins), total("n").reshape(-1, bins), orders[m]["s"])
-        return pa.table({"fit": pa.array([m], pa.int32()), "col": pa.array([c], pa.int32()), "best": pa.array([best.astype(float).tobytes()], pa.binary())})
+        found = best(m, c, table.column("g").to_pylist(), table.column("n").to_pylist())
+        return pa.table({"fit": pa.array([m], pa.int32()), "col": pa.array([c], pa.int32()), "best": pa.array([found.astype(float).tobytes()], pa.binary())})
 
     partial = rows.mapInArrow(sums, "fit int, col int, g binary, n binary")
-    return partial.groupBy("fit", "col").applyInArrow(split, "fit int, col int, best binary").collect()
+    if tasks * sum(len(o["nodes"]) * len(o["columns"]) for o in orders.values()) * bins * 16 > DRIVER_BYTES:
+        return [(r["fit"], r["col"], np.frombuffer(r["best"], float)) for r in partial.groupBy("fit", "col").applyInArrow(split, "fit int, col int, best binary").collect()]
+    parts: dict[tuple, tuple] = {}
+    for r in partial.collect():
+        g, n = parts.setdefault((r["fit"], r["col"]), ([], []))
+        g.append(r["g"])
+        n.append(r["n"])
+    return [(m, c, best(m, c, g, n)) for (m, c), (g, n) in parts.items()]
 
 
 def _with_margins(rows: DataFrame, orders: Sequence[dict], widths: tuple[int, int]) -> tuple[DataFrame, str]:
@@ -336,6 +352,14 @@ def boost(data: BinnedTable, tasks: Sequence[Task], patience: int | None = None)
     widths, columns = (len(data.features), len(data.labels)), len(data.features)
     bins = max([3, *(len(e) + 2 for e in data.edges)])
     rows, path = data.table, None
+    counts: dict[int, int] = {}
+
+    def tasks_of(rows: DataFrame) -> int:
+        if id(rows) not in counts:
+            counts.clear()
+            counts[id(rows)] = rows.rdd.getNumPartitions()
+        return counts[id(rows)]
+
     bases = _means(data, tasks)
     fits = [_Fit(t, bases[i], columns, patience) for i, t in enumerate(tasks)]
     while not all(f.over for f in fits):
@@ -347,9 +371,8 @@ def boost(data: BinnedTable, tasks: Sequence[Task], patience: int | None = None)
             every = [{"base": f.base, "pending": [t.arrays() for t in f.trees[f.saved:]]} for f in fits]
             orders = {m: f.order() for m, f in enumerate(fits) if f.tree is not None}
             got: dict[int, dict] = {m: {} for m in orders}
-            for r in _level(rows, orders, every, widths, bins):
-                best = np.frombuffer(r["best"], float)
-                got[r["fit"]][r["col"]] = best if r["col"] < 0 else best.reshape(-1, 4)
+            for m, c, best in _level(rows, tasks_of(rows), orders, every, widths, bins):
+                got[m][c] = best if c < 0 else best.reshape(-1, 4)
             for m, found in got.items():
                 f, whole = fits[m], found.pop(-1)
                 if f.level == 0:

@@ -171,6 +171,9 @@ def sample_grid(grid: dict[str, list], n_draws: int, seed: int = 42) -> list[dic
     return out
 
 
+BUNDLE = 3
+
+
 def search_fits(draws: Sequence[dict]) -> list[tuple[dict, list[int]]]:
     """Draws that differ only in ``rounds`` are prefixes of one fit: (settings with the most rounds, the draws it serves)."""
     groups: dict[tuple, list[int]] = {}
@@ -196,14 +199,20 @@ def random_search(blocks: DataFrame, features: Sequence[str], label: str, n_draw
     data = bin_table(blocks, features, [label], keys, "block")
     fits = search_fits(draws)
 
-    def run(one: tuple[dict, list[int]]) -> list[tuple]:
-        settings, own = one
-        models = boost(data, [Task(0, Settings(**settings, seed=seed), f) for f in range(n_splits)])
-        errors = [m.errors for m in models if m.errors]
-        return [(i, [e[draws[i]["rounds"] - 1][1] for e in errors]) for i in own]
+    # A few fits of like depth share their jobs; so many that their sums stay small.
+    fits.sort(key=lambda x: (x[0].get("depth", 0), x[0]["rounds"]))
+    bundles = [fits[i:i + BUNDLE] for i in range(0, len(fits), BUNDLE)]
+
+    def run(bundle: list[tuple[dict, list[int]]]) -> list[tuple]:
+        models = boost(data, [Task(0, Settings(**settings, seed=seed), f) for settings, _ in bundle for f in range(n_splits)])
+        out = []
+        for n, (_, own) in enumerate(bundle):
+            errors = [m.errors for m in models[n * n_splits:(n + 1) * n_splits] if m.errors]
+            out += [(i, [e[draws[i]["rounds"] - 1][1] for e in errors]) for i in own]
+        return out
 
     with ThreadPoolExecutor(parallelism) as pool:
-        found = dict(x for part in pool.map(run, fits) for x in part)
+        found = dict(x for part in pool.map(run, bundles) for x in part)
     axes = sorted(grid)
     rows = [(f"draw_{i:02d}", *[float(draws[i][a]) for a in axes], float(np.mean(e)) if e else None, float(np.std(e, ddof=1)) if len(e) > 1 else None, len(fits) * n_splits) for i, e in sorted(found.items())]
     best = min((r for r in rows if r[-3] is not None), key=lambda r: (r[-3], r[0]))

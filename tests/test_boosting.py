@@ -55,9 +55,11 @@ def plain(bins, y, s, rounds, base):
     return seen
 
 
-def test_rounds_match_a_plain_fit(spark, monkeypatch):
+@pytest.mark.parametrize("driver_bytes", [0, 1 << 24])
+def test_rounds_match_a_plain_fit(spark, monkeypatch, driver_bytes):
     # Margins are written again within the fit, too.
     monkeypatch.setattr(B, "SAVE_EVERY", 2)
+    monkeypatch.setattr(B, "DRIVER_BYTES", driver_bytes)
     x, y, z = data()
     df = frame(spark, x, y, z)
     s = B.Settings(rounds=5, rate=0.4, depth=3, min_child=4, min_gain=0.05, l1=0.5, l2=1.5)
