@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aeroseries.functions.sqlfuncs import register_sql_functions
@@ -13,7 +16,7 @@ from aeroseries.operators import models as ML
 from aeroseries.operators import splits as SP
 from aeroseries.plans import sqlgen as Q
 from aeroseries.plans.catalog import query
-from aeroseries.plans.q_features import _H4
+from aeroseries.plans.q_features import _H4, _H5
 from aeroseries.plans.q_profile import metrics_sql
 from aeroseries.plans.views_sql import with_views
 from aeroseries.sources import fixtures as FX
@@ -76,6 +79,45 @@ def q_write_metrics(spark, sf_dir):
     return spark.read.schema("model string, metric string, value double").json(path)
 
 
+# A document of metrics by type beside documents of single models ----------------
+_PERSISTED = """
+SELECT site_id, date, pollen_type, sev AS actual, lag(sev) OVER (PARTITION BY site_id, pollen_type ORDER BY date) AS predicted FROM (
+""" + "\nUNION ALL ".join(f"SELECT site_id, date, '{t}' AS pollen_type, {Q.severity_biological(t, t)} AS sev FROM joined" for t in ("Tree", "Grass", "Total_Pollen")) + ") t"
+
+
+@query("multitype_metric_documents", "A6", with_views("""
+SELECT 'Multi-type' AS model, nullif(mae, 0) AS mae, nullif(rmse, 0) AS rmse, nullif(r2, 0) AS r2, nullif(acc_within_1, 0) AS acc_within_1, nullif(acc_within_2, 0) AS acc_within_2
+FROM per_type WHERE pollen_type = 'Total_Pollen' AND mae <> 0 AND r2 <> 0
+UNION ALL SELECT model, mae, rmse, r2, acc_within_1, NULL FROM models WHERE model LIKE 'Rolling%' AND mae <> 0 AND r2 <> 0""", "joined", "model_predictions",
+    extra=[("persisted", _PERSISTED), ("per_type", metrics_sql("persisted", ["pollen_type"])), ("models", metrics_sql("model_predictions", ["model"]))]))
+def q_multitype_docs(spark, sf_dir):
+    j = H.biological_labels(FX.joined(spark, sf_dir))
+    types = ("Tree", "Grass", "Total_Pollen")
+    long = j.select("site_id", "date", F.expr(f"stack({len(types)}, " + ", ".join(f"'{t}', {t}_Severity" for t in types) + ") AS (pollen_type, actual)"))
+    yesterday = F.lag("actual").over(Window.partitionBy("site_id", "pollen_type").orderBy("date"))
+    per_type = M.metrics_full(long.withColumn("predicted", yesterday), by=("pollen_type",))
+    path, single = scratch_path(spark, "a6-types"), scratch_path(spark, "a6-single")
+    IO.write_multitype_metrics(per_type, path)
+    m = M.metrics_full(FX.model_predictions(spark, sf_dir), by=("model",)).where(F.col("model").startswith("Rolling"))
+    IO.write_metric_documents(m.withColumn("style", F.lit("plain")), single)
+    columns = ["model", "mae", "rmse", "r2", "acc_within_1"]
+    out = IO.read_multitype_metrics(spark, path, "Multi-type").select(*columns, "acc_within_2")
+    return out.unionByName(IO.read_metrics(spark, single).select(*columns, F.lit(None).cast("double").alias("acc_within_2")))
+
+
+# A5 + C1 + H5: a table kept by site feeds the features without an exchange ------------
+@query("features_from_buckets", "A5,C1,H5", with_views("SELECT site_id, date, " + ", ".join(H.H5_COLUMNS) + " FROM h5", "joined", extra=[("h5", _H5)]))
+def q_bucketed(spark, sf_dir):
+    return H.abiotic_features(bucketed_joined(spark, sf_dir)).select("site_id", "date", *H.H5_COLUMNS)
+
+
+def bucketed_joined(spark, sf_dir, buckets=8):
+    """C1 over pollen and weather stored by site, stored by site itself."""
+    name = f"aeroseries_{uuid.uuid4().hex}"
+    parts = [IO.write_bucketed(v(spark, sf_dir), f"{name}_{tag}", scratch_path(spark, f"a5-{tag}"), buckets) for tag, v in (("pollen", FX.pollen), ("weather", FX.weather_site))]
+    return IO.write_bucketed(C.join_daily(*parts), f"{name}_joined", scratch_path(spark, "a5-buckets"), buckets)
+
+
 # A8 ---------------------------------------------------------------------------
 @query("model_save_load", "A8")
 def q_model_roundtrip(spark, sf_dir):

@@ -86,6 +86,23 @@ def write_daily(df: DataFrame, path: str, fmt: str = "parquet", site: Sequence[s
     w.save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, site: str = "site_id", date_col: str = "date") -> DataFrame:
+    """Store daily rows as a table of ``buckets`` buckets by site, sorted by date,
+    and read it.  Windows by site, and joins of tables with as many buckets, then
+    need no exchange.  Rows go to their bucket's task first, so a bucket is one
+    file.  One row a calendar day bounds a site's rows; choose the buckets from
+    the number of sites.
+
+    Spark matches a join's keys exactly unless
+    ``spark.sql.requireAllClusterKeysForCoPartition`` is false; set that to join
+    bucketed tables by site and date.
+    """
+    spark = df.sparkSession
+    (df.repartition(buckets, site).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, site).sortBy(site, date_col).saveAsTable(table))
+    return spark.table(table)
+
+
 # A9 ---------------------------------------------------------------------------
 def reconcile(source: DataFrame, target: DataFrame, date_col: str = "DATE", station_col: str = "STATION",
               variables: Sequence[str] = ("TMAX", "TMIN", "PRCP", "AWND")) -> DataFrame:
@@ -166,6 +183,14 @@ def read_metrics(spark: SparkSession, path: str, names: dict[str, str] | None =
     return norm.filter(F.col("mae").isNotNull() & F.col("r2").isNotNull())
 
 
+def write_multitype_metrics(metrics: DataFrame, path: str, type_col: str = "pollen_type") -> None:
+    """One document {type: {metrics}} as the multi-type training script writes it; one row a type comes in."""
+    names = [c for c in metrics.columns if c != type_col]
+    types = sorted(r[type_col] for r in metrics.select(type_col).distinct().collect())
+    doc = metrics.agg(*[F.max(F.when(F.col(type_col) == t, F.struct(*names))).alias(t) for t in types])
+    doc.coalesce(1).write.mode("overwrite").json(path)
+
+
 def read_multitype_metrics(spark: SparkSession, path: str, model: str,
                            pollen_type: str = "Total_Pollen") -> DataFrame:
     """A per-type metrics document ({type: {metrics}}): only ``pollen_type``

@@ -35,3 +35,25 @@ def test_scores_are_not_copied_into_filters(spark):
     for name in ("allocate_by_season", "allergen_breakdown", "score_allergens_fixed"):
         filters = re.findall(r"Filter .*", _plan(QUERIES[name](spark, SF0001)))
         assert filters and max(map(len, filters)) < 2000, name
+
+
+def _exchanges(df):
+    return re.findall(r"Exchange hashpartitioning\([^)]*\)", _plan(df))
+
+
+def test_features_over_buckets_need_no_site_exchange(spark):
+    from aeroseries.operators.joins import join_daily
+    from aeroseries.plans.q_io import bucketed_joined
+    from aeroseries.sources.io import write_bucketed
+    from aeroseries.streaming.stream import scratch_path
+    joined = bucketed_joined(spark, SF0001)
+    for name in sorted(H.FEATURE_SETS):
+        assert not _exchanges(H.build(joined, name)), name
+    sides = [write_bucketed(v(spark, SF0001), f"t_{i}", scratch_path(spark, f"t-buckets-{i}"), 8) for i, v in enumerate((FX.pollen, FX.weather_site))]
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(key, "false")
+    try:
+        assert not _exchanges(H.build(join_daily(*sides), "abiotic"))
+    finally:
+        spark.conf.unset(key)
+    assert join_daily(*sides).count() == FX.joined(spark, SF0001).count() == joined.count()
