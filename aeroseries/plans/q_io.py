@@ -14,11 +14,13 @@ from aeroseries.operators import joins as C
 from aeroseries.operators import metrics as M
 from aeroseries.operators import models as ML
 from aeroseries.operators import splits as SP
+from aeroseries.operators.boosting import BoostedModel
 from aeroseries.plans import sqlgen as Q
 from aeroseries.plans.catalog import query
 from aeroseries.plans.q_features import _H4, _H5
 from aeroseries.plans.q_profile import metrics_sql
 from aeroseries.plans.views_sql import with_views
+from aeroseries.session import cut_lineage
 from aeroseries.sources import fixtures as FX
 from aeroseries.sources import io as IO
 from aeroseries.streaming.stream import scratch_path
@@ -132,6 +134,31 @@ def q_model_roundtrip(spark, sf_dir):
         .withColumn("features", F.lit(len(names)))
 
 
+@query("model_reload_differences", "A8", with_views(
+    f"SELECT kind, count(*) AS n, 0 AS different, {len(H.H5_COLUMNS)} AS features FROM h5 CROSS JOIN (VALUES ('pipeline'), ('boosted')) k(kind) WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in H.H5_COLUMNS) + " GROUP BY kind", "joined", extra=[("h5", _H5)]))
+def q_model_reload(spark, sf_dir):
+    """Every complete row scored by a model as it was fitted and as it was read again."""
+    j = H.biological_labels(FX.joined(spark, sf_dir))
+    f = cut_lineage(H.abiotic_features(j).select("site_id", "date", *H.H5_COLUMNS, "Total_Pollen_Severity").na.drop(subset=list(H.H5_COLUMNS)))
+    label = "Total_Pollen_Severity"
+    fits = {"pipeline": ML.fit(f.na.drop(subset=[label]), H.H5_COLUMNS, label, "linear"), "boosted": ML.train_all_types(f, H.H5_COLUMNS, [label], "refined", None, rounds=3)[label]}
+    out = None
+    for kind, m in fits.items():
+        path = scratch_path(spark, f"a8-{kind}")
+        if kind == "boosted":
+            m.save(spark, path)
+            loaded, names = BoostedModel.load(spark, path), m.features
+        else:
+            IO.save_model(m, H.H5_COLUMNS, path)
+            loaded, names = IO.load_model(spark, path)
+        both = loaded.transform(m.transform(f).select(*f.columns, F.col("prediction").alias("before")))
+        g = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") != F.col("prediction")).alias("different"))
+        g = g.select(F.lit(kind).alias("kind"), "n", "different", F.lit(len(names)).alias("features"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
 # B13 --------------------------------------------------------------------------
 _PATTERNS = ["lag_", "roll_", "GDD", "Peak_Prox", "_x_"]
 

@@ -227,6 +227,23 @@ def q_train_all(spark, sf_dir):
     return out
 
 
+# A tree of one split on a flag predicts its sides' means and has all the importance.
+@query("forest_one_split", "I5,F2", with_views("\nUNION ALL ".join(
+    f"SELECT '{t}_Severity' AS label, rain, count(*) AS n, round(avg(sev), 6) AS prediction, 'rain' AS feature, 1.0E0 AS importance "
+    f"FROM (SELECT {Q.severity_biological(t, t)} AS sev, {Q.flag('PRCP > 0')} AS rain FROM joined) r WHERE sev IS NOT NULL GROUP BY rain"
+    for t in ("Tree", "Grass")), "joined"))
+def q_forest_one_split(spark, sf_dir):
+    rows = cut_lineage(_labeled(spark, sf_dir).select(S.flag(F.col("PRCP") > 0).cast("double").alias("rain"), *LABELS[:2]))
+    out = None
+    for lab in LABELS[:2]:
+        own = rows.na.drop(subset=[lab])
+        m = ML.fit(own, ["rain"], lab, "rf_baseline", numTrees=1, maxDepth=1, minInstancesPerNode=1, bootstrap=False)
+        g = m.transform(own).groupBy(F.col("rain").cast("int").alias("rain")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 6).alias("prediction"))
+        g = g.select(F.lit(lab).alias("label"), "rain", "n", "prediction").crossJoin(F.broadcast(R.top_features(ML.feature_importances(m, ["rain"]), 1).select("feature", "importance")))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
 @query("top_features", "F2,I5")
 def q_top_features(spark, sf_dir):
     df, cols = _frame(spark, sf_dir)
@@ -290,8 +307,8 @@ def _regime(spark, sf_dir, name):
     cols = list(dict.fromkeys(cols))
     f = fn(_labeled(spark, sf_dir)).select("site_id", "date", *cols, *LABELS)
     df = cut_lineage(SP.split_positional(f, 0.8))
-    tr = df.filter(F.col("role") == "train").na.drop(subset=cols)
-    models = {lab: ML.fit(tr.na.drop(subset=[lab]), cols, lab, "small_gbt", maxIter=10) for lab in LABELS}
+    # Fewer, larger steps than the presets: two regimes of five labels are fitted in one query.
+    models = ML.train_all_types(_validated(df).na.drop(subset=cols), cols, LABELS, "refined", rounds=40, rate=0.1, depth=5)
     return models, df.filter(F.col("role") == "test"), cols
 
 
