@@ -1,6 +1,7 @@
 """The pipeline's stages one after the other, each against its own input."""
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from aeroseries.llm import langid
@@ -55,3 +56,18 @@ def test_language_stage_keeps_only_learned_languages(spark, docs):
     model = langid.train(docs)
     assert kept.columns == docs.columns
     assert kept.count() == langid.identify(docs, model).where("lang_pred <> 'und'").count()
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_odd_empty_and_clashing_rows(spark, docs, empty, clashing, stage):
+    assert stage(spark, empty, SF).count() == 0
+    got = stage(spark, docs, SF)
+    assert set(docs.columns) <= set(got.columns)
+    key = lambda df: sorted(str((r["doc_id"], r["text"], r["lang"])) for r in df.select("doc_id", "text", "lang").collect())
+    both = stage(spark, clashing, SF)
+    assert set(clashing.columns) <= set(both.columns) and key(both) == key(got)
+    ids = [r["doc_id"] for r in got.select("doc_id").collect()]
+    # Null ids and repeated rows go through; equal rows fold only where near duplicates do.
+    if stage is not corpus_pipeline.near_duplicate_stage:
+        assert ids.count(13) == 2
+    assert 5 in ids
