@@ -8,6 +8,7 @@ setting (tests) gets a folder of its own.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,3 +50,14 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that have ended.
+
+    It does so when the driver's garbage is collected, which may be hours off
+    where the driver has little to do; a chain of written tables would hold the
+    shuffles of all its steps until then.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
