@@ -134,15 +134,18 @@ def q_model_roundtrip(spark, sf_dir):
         .withColumn("features", F.lit(len(names)))
 
 
+_INPUTS = ["TMAX", "TMIN", "AWND"]
+
+
 @query("model_reload_differences", "A8", with_views(
-    f"SELECT kind, count(*) AS n, 0 AS different, {len(H.H5_COLUMNS)} AS features FROM h5 CROSS JOIN (VALUES ('pipeline'), ('boosted')) k(kind) WHERE "
-    + " AND ".join(f"{c} IS NOT NULL" for c in H.H5_COLUMNS) + " GROUP BY kind", "joined", extra=[("h5", _H5)]))
+    f"SELECT kind, count(*) AS n, 0 AS different, {len(_INPUTS)} AS features FROM joined CROSS JOIN (VALUES ('pipeline'), ('boosted')) k(kind) WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in _INPUTS) + " GROUP BY kind", "joined"))
 def q_model_reload(spark, sf_dir):
     """Every complete row scored by a model as it was fitted and as it was read again."""
     j = H.biological_labels(FX.joined(spark, sf_dir))
-    f = cut_lineage(H.abiotic_features(j).select("site_id", "date", *H.H5_COLUMNS, "Total_Pollen_Severity").na.drop(subset=list(H.H5_COLUMNS)))
+    f = cut_lineage(j.select("site_id", "date", *_INPUTS, "Total_Pollen_Severity").na.drop(subset=_INPUTS))
     label = "Total_Pollen_Severity"
-    fits = {"pipeline": ML.fit(f.na.drop(subset=[label]), H.H5_COLUMNS, label, "linear"), "boosted": ML.train_all_types(f, H.H5_COLUMNS, [label], "refined", None, rounds=3)[label]}
+    fits = {"pipeline": ML.fit(f.na.drop(subset=[label]), _INPUTS, label, "linear"), "boosted": ML.train_all_types(f, _INPUTS, [label], "refined", None, rounds=3)[label]}
     out = None
     for kind, m in fits.items():
         path = scratch_path(spark, f"a8-{kind}")
@@ -150,7 +153,7 @@ def q_model_reload(spark, sf_dir):
             m.save(spark, path)
             loaded, names = BoostedModel.load(spark, path), m.features
         else:
-            IO.save_model(m, H.H5_COLUMNS, path)
+            IO.save_model(m, _INPUTS, path)
             loaded, names = IO.load_model(spark, path)
         both = loaded.transform(m.transform(f).select(*f.columns, F.col("prediction").alias("before")))
         g = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") != F.col("prediction")).alias("different"))
