@@ -4,8 +4,9 @@ Words are runs of ASCII letters and digits and all characters beyond ASCII,
 with A-Z lower-cased.  A window is ``window`` consecutive words of a test item,
 or all words of a shorter one.
 
-Of every window the rarest terms, by their counts over all documents, are its
-anchors; a window with a term that no document has is out.  The index stores
+Of every window the rarest terms that documents have, by their counts over all
+documents, are its anchors; a window with a term that no document has gives
+proximity matches only.  The index stores
 the postings (term, document, position) of the anchor terms.  An item's lists
 are intersected by adjusting offsets: a posting at p of the item's word q says
 that the item may begin at p - q, and where a window occurs all its anchors
@@ -53,9 +54,17 @@ def _upto(n: Column) -> Column:
 
 
 def item_words(items: DataFrame, window: int) -> DataFrame:
-    """(iid, item_id, words, size): items with words; ``size`` is the length of their windows."""
+    """(iid, item_id, words, size, starts): items with words.
+
+    ``size`` is the length of their windows, ``starts`` where each different
+    window first begins; ``words`` end with the last of these.
+    """
     rows = items.select("item_id", F.xxhash64("item_id", "text").alias("iid"), words_of(F.col("text")).alias("words")).dropDuplicates(["iid"])
-    return rows.where(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(window)))
+    rows = rows.where(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(window)))
+    every = rows.select("iid", "words", "size", F.explode(_upto(F.size("words") - F.col("size") + 1)).alias("s"))
+    first = every.groupBy("iid", F.slice("words", F.col("s") + 1, F.col("size")).alias("win")).agg(F.min("s").alias("s"))
+    first = first.groupBy("iid").agg(F.sort_array(F.collect_list("s")).alias("starts"))
+    return rows.join(first, "iid").select("iid", "item_id", F.slice("words", F.lit(1), F.array_max("starts") + F.col("size")).alias("words"), "size", "starts")
 
 
 def term_counts(docs: DataFrame, terms: DataFrame, max_broadcast: int) -> DataFrame:
@@ -65,13 +74,17 @@ def term_counts(docs: DataFrame, terms: DataFrame, max_broadcast: int) -> DataFr
 
 
 def anchors(items: DataFrame, counts: DataFrame, rarest: int) -> DataFrame:
-    """(iid, q, term, need): of each window that can occur, the positions q of its rarest terms; ``need``: how many must agree."""
-    starts = items.select("iid", "words", "size", F.explode(_upto(F.size("words") - F.col("size") + 1)).alias("s"))
-    places = starts.select("iid", "s", "size", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("size") - 1)).alias("q"), "words")
-    places = places.select("iid", "s", "size", "q", F.get("words", F.col("q")).alias("term")).join(counts, "term", "left")
+    """(iid, q, term, need): of each different window, the positions q of its rarest terms among those that documents have.
+
+    ``need``: how many must agree where the window occurs; null where only windows with an unseen term have this anchor.
+    """
+    starts = items.select("iid", "words", "size", F.explode("starts").alias("s"))
+    places = starts.select("iid", "s", "size", F.posexplode(F.slice("words", F.col("s") + 1, F.col("size"))).alias("j", "term")).join(counts, "term")
     one = Window.partitionBy("iid", "s")
-    ranked = places.withColumns({"r": F.row_number().over(one.orderBy(F.col("freq").asc_nulls_first(), "q")), "least": F.min(F.coalesce("freq", F.lit(0))).over(one)})
-    return ranked.where((F.col("r") <= rarest) & (F.col("least") > 0)).groupBy("iid", "q", "term").agg(F.min(F.least("size", F.lit(rarest))).alias("need"))
+    ranked = places.withColumn("q", F.col("s") + F.col("j"))
+    ranked = ranked.withColumns({"r": F.row_number().over(one.orderBy("freq", "q")), "known": F.count("*").over(one)}).where(F.col("r") <= rarest)
+    need = F.when(F.col("known") == F.col("size"), F.least("size", F.lit(rarest)))
+    return ranked.groupBy("iid", "q", "term").agg(F.min(need).alias("need"))
 
 
 def postings(docs: DataFrame, terms: DataFrame, max_broadcast: int) -> DataFrame:
@@ -85,15 +98,25 @@ def diagonals(index: DataFrame, anchor: DataFrame, max_broadcast: int) -> DataFr
     return index.join(bounded(anchor, max_broadcast), "term").select("iid", *KEY, (F.col("p") - F.col("q")).alias("d"), "q", "need")
 
 
-def phrases(docs: DataFrame, items: DataFrame, agreed: DataFrame) -> DataFrame:
-    """(iid, k, t, spans): the occurrences [lo, hi) of an item's windows, from places (iid, k, t, d)."""
+def phrases(docs: DataFrame, items: DataFrame, agreed: DataFrame, part: int = 1 << 16) -> DataFrame:
+    """(iid, k, t, spans): the occurrences [lo, hi) of an item's windows, from places (iid, k, t, d).
+
+    A document's places travel in parts of ``part`` words, each as one row beside the text.
+    """
     sized = agreed.join(items.select("iid", F.size("words").alias("n")), "iid")
-    by_document = sized.groupBy(*KEY).agg(F.collect_set(F.struct("iid", "d", "n")).alias("places"))
-    held = docs.select(*KEY, "text").join(by_document, KEY).select(*KEY, words_of(F.col("text")).alias("w"), "places")
-    cut = held.select(*KEY, F.explode(F.transform("places", lambda x: F.struct(x["iid"].alias("iid"), x["d"].alias("d"), F.transform(_upto(x["n"]), lambda i: F.get("w", x["d"] + i)).alias("cut")))).alias("x"))
-    both = cut.select(*KEY, "x.*").dropDuplicates([*KEY, "iid", "d"]).join(items.select("iid", "words", "size"), "iid")
-    same = both.withColumn("same", F.zip_with("cut", "words", lambda a, b: F.coalesce(a == b, F.lit(False))))
-    starts = F.filter(_upto(F.size("words") - F.col("size") + 1), lambda s: F.forall(F.sequence(F.lit(0), F.col("size") - 1), lambda j: F.get("same", s + j)))
+    parts = sized.groupBy(*KEY, F.floor(F.col("d") / part).alias("part")).agg(F.collect_set(F.struct("iid", "d", "n")).alias("places"))
+    held = docs.select(*KEY, "text").join(parts, KEY)
+
+    def cut(w: Column, x: Column) -> Column:
+        # An item that would begin before the document lacks its first words there.
+        lead = F.greatest(-x["d"], F.lit(0))
+        return F.struct(x["iid"].alias("iid"), x["d"].alias("d"), lead.alias("lead"), F.slice(w, F.greatest(x["d"], F.lit(0)) + 1, F.greatest(x["n"] - lead, F.lit(0))).alias("cut"))
+
+    # The words are a lambda's variable, so that they are split once for all places.
+    cuts = F.flatten(F.transform(F.array(words_of(F.col("text"))), lambda w: F.transform("places", lambda x: cut(w, x))))
+    both = held.select(*KEY, F.explode(cuts).alias("x")).select(*KEY, "x.*").dropDuplicates([*KEY, "iid", "d"]).join(items.select("iid", "words", "size", "starts"), "iid")
+    same = both.withColumn("same", F.transform("words", lambda x, i: F.coalesce(F.get("cut", i - F.col("lead")) == x, F.lit(False))))
+    starts = F.filter("starts", lambda s: F.forall(F.sequence(F.lit(0), F.col("size") - 1), lambda j: F.get("same", s + j)))
     found = same.select("iid", *KEY, F.transform(starts, lambda s: F.struct((F.col("d") + s).alias("lo"), (F.col("d") + s + F.col("size")).alias("hi"))).alias("spans"))
     return found.where(F.size("spans") > 0)
 
@@ -106,10 +129,12 @@ def proximity(agreement: DataFrame, anchor: DataFrame, slop: int = 4, share: flo
     """
     wide = 2 * slop
     buckets = F.array(2 * F.floor(F.col("d") / wide), 2 * F.floor((F.col("d") + slop) / wide) + 1)
-    near = agreement.select("iid", *KEY, "q", "d", F.explode(buckets).alias("b")).distinct().groupBy("iid", *KEY, "b").agg(F.countDistinct("q").alias("terms"), F.min("d").alias("lo"))
-    best = near.groupBy("iid", *KEY).agg(F.max(F.struct("terms", (-F.col("lo")).alias("back"))).alias("best"))
+    near = agreement.select("iid", *KEY, "q", "d", F.explode(buckets).alias("b")).groupBy("iid", *KEY, "b", "q").agg(F.min("d").alias("d"))
+    near = near.groupBy("iid", *KEY, "b").agg(F.count("*").alias("terms"), F.min("d").alias("lo"))
     total = anchor.groupBy("iid").agg(F.countDistinct("q").alias("all"))
-    return best.join(total, "iid").where(F.col("best.terms") >= share * F.col("all")).select("iid", *KEY, "best.terms", (-F.col("best.back")).alias("lo"))
+    enough = near.join(total, "iid").where(F.col("terms") >= F.lit(share) * F.col("all"))
+    best = enough.groupBy("iid", *KEY).agg(F.max(F.struct("terms", (-F.col("lo")).alias("back"))).alias("best"))
+    return best.select("iid", *KEY, "best.terms", (-F.col("best.back")).alias("lo"))
 
 
 def covered(spans: Column) -> Column:
@@ -136,34 +161,48 @@ class Matches:
         agreed, _ = write_table(agreed.select("iid", *KEY, "d"), "places")
         return phrases(self.docs, self.items, agreed)
 
+    def near(self, slop: int = 4, share: float = 0.6) -> DataFrame:
+        """(iid, k, t, terms, lo) of the proximity matches."""
+        return proximity(self.places, self.anchors, slop, share)
+
     def proximity(self, slop: int = 4, share: float = 0.6) -> DataFrame:
         """(item_id, doc_id, terms, place): items most of whose anchors stand near one place of a document."""
-        near = proximity(self.places, self.anchors, slop, share).join(self.items.select("iid", "item_id"), "iid")
+        near = self.near(slop, share).join(self.items.select("iid", "item_id"), "iid")
         known = self.docs.select(*KEY, "doc_id").distinct()
         return near.join(known, KEY).select("item_id", "doc_id", "terms", F.col("lo").alias("place"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, **parameters) -> DataFrame:
-    """One row per row of ``docs``: doc_id, k, t, n_words, n_hit, n_items, items_sha256, contaminated, spans."""
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, near: bool = True, **parameters) -> DataFrame:
+    """One row per row of ``docs``: doc_id, k, t, n_words, n_hit, n_items, items_sha256, contaminated, spans.
+
+    With ``near`` also n_near, the number of items with a proximity match.
+    """
     matches = Matches(docs, items, window, **parameters)
     found = matches.phrases().join(matches.items.select("iid", "item_id"), "iid")
-    hits = found.groupBy(*KEY).agg(F.collect_set("item_id").alias("items"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    spans = found.select(*KEY, "item_id", F.explode("spans").alias("span"))
+    hits = spans.groupBy(*KEY).agg(F.collect_set("item_id").alias("items"), F.collect_set("span").alias("spans"))
     names = F.sort_array(F.transform(F.coalesce("items", F.array().cast("array<bigint>")), lambda x: x.cast("string")))
-    rows = matches.docs.select("doc_id", *KEY, F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    rows = matches.docs.select("doc_id", *KEY, F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(hits, KEY, "left")
     n_hit = F.coalesce(covered(F.col("spans")), F.lit(0)).cast("long")
-    return rows.join(hits, KEY, "left").select(
+    columns = [
         "doc_id", *KEY, "n_words", n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "spans",
-    )
+    ]
+    if near:
+        close = matches.near().join(matches.items.select("iid", "item_id"), "iid").groupBy(*KEY).agg(F.countDistinct("item_id").alias("n_near"))
+        rows = rows.join(close, KEY, "left")
+        columns.append(F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
+    return rows.select(*columns)
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` without a hit, all their columns."""
-    bad = decontaminate(docs, items, window).where("contaminated").select(*KEY)
+    bad = decontaminate(docs, items, window, near=False).where("contaminated").select(*KEY)
     return boxed(docs).join(bad, KEY, "left_anti").select("row.*")
 
 
 DIGEST = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+FIGURES = [*DIGEST, "n_near"]
 _WORDS = "[x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> '']"
 SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -176,8 +215,22 @@ dw AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS win
 hits AS (SELECT dw.doc_id, dw.n, dw.s, dw.win FROM dw JOIN wins ON dw.n = wins.n AND dw.win = wins.win),
 places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
 found AS (SELECT DISTINCT hits.doc_id, bw.item_id FROM hits JOIN bw ON hits.n = bw.n AND hits.win = bw.win),
-named AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM found GROUP BY doc_id)
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM found GROUP BY doc_id),
+dt AS (SELECT doc_id, unnest(w) AS term, unnest(range(0, len(w))) AS p FROM d),
+freqs AS (SELECT term, count(*) AS freq FROM dt GROUP BY term),
+starts AS (SELECT item_id, win, min(s) AS s
+           FROM (SELECT item_id, s, w[s + 1:s + n] AS win FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS s FROM b WHERE len(w) > 0))
+           GROUP BY item_id, win),
+terms AS (SELECT item_id, s, unnest(win) AS term, s + unnest(range(0, len(win))) AS q FROM starts),
+ranked AS (SELECT item_id, term, q, row_number() OVER (PARTITION BY item_id, s ORDER BY freq, q) AS r FROM terms JOIN freqs USING (term)),
+anchor AS (SELECT DISTINCT item_id, term, q FROM ranked WHERE r <= 3),
+goal AS (SELECT item_id, count(DISTINCT q) AS n FROM anchor GROUP BY item_id),
+marks AS (SELECT DISTINCT item_id, doc_id, q, p - q AS d FROM anchor JOIN dt USING (term)),
+buckets AS (SELECT item_id, doc_id, q, 2 * floor(d / 8.0) AS b FROM marks UNION ALL SELECT item_id, doc_id, q, 2 * floor((d + 4) / 8.0) + 1 FROM marks),
+close AS (SELECT item_id, doc_id FROM buckets JOIN goal USING (item_id) GROUP BY item_id, doc_id, b, n HAVING count(DISTINCT q) >= CAST(0.6 AS DOUBLE) * n),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM close GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN places ON d.doc_id = places.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN places ON d.doc_id = places.doc_id LEFT JOIN named ON d.doc_id = named.doc_id LEFT JOIN near ON d.doc_id = near.doc_id
 """

@@ -62,7 +62,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontaminate", decontaminate.SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select(*decontaminate.DIGEST)
+    return found.select(*decontaminate.FIGURES)
 
 
 @query("op7_url_filter", url_filter.SQL)

@@ -76,3 +76,52 @@ def test_proximity_finds_passages_with_changed_words(spark):
     assert set(near) == {1, 2} and near[1] == 0 and near[2] in (2, 3)
     exact = D.decontaminate(docs, spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string"))
     assert {r["doc_id"] for r in exact.where("contaminated").collect()} == {1}
+
+
+def plain_near(rows, tests, slop=4, share=0.6, rarest=3, window=10):
+    """Items of whose anchors enough lie in one bucket of places, by document."""
+    freq = {}
+    for r in rows:
+        for w in words(r[1]):
+            freq[w] = freq.get(w, 0) + 1
+    out = {}
+    for k, text in tests:
+        w = words(text)
+        n = min(len(w), window)
+        qs = set()
+        for i in range(len(w) - n + 1 if n else 0):
+            qs |= set(sorted((q for q in range(i, i + n) if w[q] in freq), key=lambda q: (freq[w[q]], q))[:rarest])
+        for j, r in enumerate(rows):
+            buckets = {}
+            for p, word in enumerate(words(r[1])):
+                for q in qs:
+                    if w[q] == word:
+                        d = p - q
+                        for b in (("even", d // (2 * slop)), ("odd", (d + slop) // (2 * slop))):
+                            buckets.setdefault(b, set()).add(q)
+            if any(len(b) >= share * len(qs) for b in buckets.values()):
+                out.setdefault(j, set()).add(k)
+    return {j: len(ks) for j, ks in out.items()}
+
+
+def test_proximity_matches_brute_force(spark):
+    passages = {1: sentence(9, 40), 2: sentence(10, 25), 3: "x y z", 4: sentence(12, 9) + " unheardof " + sentence(13, 9)}
+    rows = []
+    for k, text in enumerate([*passages.values(), sentence(99, 80), "x q z", "x q q q q q y z", ""]):
+        w = text.split(" ")
+        rows.append((2 * k, text.replace("unheardof ", "changed "), None, None, None))
+        rows.append((2 * k + 1, " ".join(["lead"] * k + [x if i % 9 else f"other{i}" for i, x in enumerate(w)]), None, None, None))
+    items = list(passages.items())
+    got = D.decontaminate(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    want = plain_near(rows, items)
+    assert {r["doc_id"]: r["n_near"] for r in got.collect()} == {r[0]: want.get(j, 0) for j, r in enumerate(rows)}
+    # One word that no document has doesn't lose a window's match.
+    assert want[6] and not any(r["n_hit"] for r in got.where("doc_id = 7").collect())
+
+
+def test_a_very_long_text_of_two_words(spark):
+    """A text of a million words, half of whose places begin a window; item 2 repeats its only two windows."""
+    text = " ".join(["a b"] * 500_000)
+    tests = spark.createDataFrame([(1, "a b a b a b a b a b"), (2, " ".join(["a b"] * 100))], "item_id long, text string")
+    got = D.decontaminate(spark.createDataFrame([(1, text, None, None, None)], SCHEMA), tests).select(*D.FIGURES).first()
+    assert (got["n_words"], got["n_hit"], got["n_items"], got["n_near"]) == (1_000_000, 1_000_000, 2, 2)
