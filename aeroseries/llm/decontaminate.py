@@ -121,18 +121,22 @@ def phrases(docs: DataFrame, items: DataFrame, agreed: DataFrame, part: int = 1
     return found.where(F.size("spans") > 0)
 
 
-def proximity(agreement: DataFrame, anchor: DataFrame, slop: int = 4, share: float = 0.6) -> DataFrame:
+def proximity(agreement: DataFrame, anchor: DataFrame, max_broadcast: int, slop: int = 4, share: float = 0.6) -> DataFrame:
     """(iid, k, t, terms, lo): items of whose anchors ``share`` or more lie within ``slop`` words of one place.
 
     ``agreement`` are the places of ``diagonals``; they fall into two rows of
     buckets, half a bucket apart, so places up to ``slop`` apart share one.
+    Only documents with that many places of an item at all are looked at so.
     """
+    total = anchor.groupBy("iid").agg(F.countDistinct("q").alias("all"))
+    many = agreement.groupBy("iid", *KEY).agg(F.count("*").alias("c")).join(total, "iid")
+    many, _ = write_table(many.where(F.col("c") >= F.lit(share) * F.col("all")).select("iid", *KEY, "all"), "near-pairs")
     wide = 2 * slop
     buckets = F.array(2 * F.floor(F.col("d") / wide), 2 * F.floor((F.col("d") + slop) / wide) + 1)
-    near = agreement.select("iid", *KEY, "q", "d", F.explode(buckets).alias("b")).groupBy("iid", *KEY, "b", "q").agg(F.min("d").alias("d"))
-    near = near.groupBy("iid", *KEY, "b").agg(F.count("*").alias("terms"), F.min("d").alias("lo"))
-    total = anchor.groupBy("iid").agg(F.countDistinct("q").alias("all"))
-    enough = near.join(total, "iid").where(F.col("terms") >= F.lit(share) * F.col("all"))
+    near = agreement.join(bounded(many, max_broadcast), ["iid", *KEY]).select("iid", *KEY, "all", "q", "d", F.explode(buckets).alias("b"))
+    near = near.groupBy("iid", *KEY, "all", "b", "q").agg(F.min("d").alias("d"))
+    near = near.groupBy("iid", *KEY, "all", "b").agg(F.count("*").alias("terms"), F.min("d").alias("lo"))
+    enough = near.where(F.col("terms") >= F.lit(share) * F.col("all"))
     best = enough.groupBy("iid", *KEY).agg(F.max(F.struct("terms", (-F.col("lo")).alias("back"))).alias("best"))
     return best.select("iid", *KEY, "best.terms", (-F.col("best.back")).alias("lo"))
 
@@ -147,7 +151,7 @@ class Matches:
     """The index of one corpus for one benchmark, and what it answers."""
 
     def __init__(self, docs: DataFrame, items: DataFrame, window: int = 10, rarest: int = 3, max_broadcast: int = 1_000_000):
-        self.docs = keyed(docs)
+        self.docs, self.max_broadcast = keyed(docs), max_broadcast
         self.items, _ = write_table(item_words(items, window), "items")
         terms = self.items.select(F.explode("words").alias("term")).distinct()
         counts, _ = write_table(term_counts(self.docs, terms, max_broadcast), "term-counts")
@@ -163,7 +167,7 @@ class Matches:
 
     def near(self, slop: int = 4, share: float = 0.6) -> DataFrame:
         """(iid, k, t, terms, lo) of the proximity matches."""
-        return proximity(self.places, self.anchors, slop, share)
+        return proximity(self.places, self.anchors, self.max_broadcast, slop, share)
 
     def proximity(self, slop: int = 4, share: float = 0.6) -> DataFrame:
         """(item_id, doc_id, terms, place): items most of whose anchors stand near one place of a document."""
