@@ -34,6 +34,8 @@ from aeroseries.llm import kernels as K
 K.ship_by_value(__name__)
 BLOCK = 512
 SEPARATOR, OTHER_LETTER, FIRST_LETTER = 0, 1, 2
+#: An entry is twice a place in the table and one bit, in 32 bits.
+MOST_ENTRIES = (1 << 30) - 1
 
 
 @dataclass
@@ -51,6 +53,8 @@ def sample(docs: DataFrame, max_docs: int, max_chars: int) -> dict[str, list[str
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labelled.select("lang", "doc_id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_docs)
     rows = labelled.select("doc_id", "lang", F.substring("text", 1, max_chars).alias("text")).join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    # A doc_id that repeats gives one text, so that the driver gets max_docs a language.
+    rows = rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
     for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         out.setdefault(r["lang"], []).append(r["text"])
@@ -114,7 +118,8 @@ def train(docs: DataFrame, max_docs: int = 200, max_chars: int = 2000, max_symbo
     return fit(sample(docs, max_docs, max_chars), max_symbols)
 
 
-def fit(texts: dict[str, list[str]], max_symbols: int = 24_000) -> Model:
+def fit(texts: dict[str, list[str]], max_symbols: int = 24_000, max_entries: int = MOST_ENTRIES) -> Model:
+    """The model of sampled texts; ValueError where its table, which is broadcast, would pass ``max_entries`` (of 4 bytes)."""
     symbols = symbol_table([t for ts in texts.values() for t in ts])
     width = int(symbols.max()) + 1
     parts, start, weight, names, at = [], [], [], [], 0
@@ -124,6 +129,8 @@ def fit(texts: dict[str, list[str]], max_symbols: int = 24_000) -> Model:
         if not (text > SEPARATOR).any():
             continue
         steps = automaton(text.tolist())
+        if at + len(steps) * width > min(max_entries, MOST_ENTRIES):
+            raise ValueError(f"{len(texts)} languages pass {min(max_entries, MOST_ENTRIES)} table entries at {max_symbols} symbols each; lower max_symbols")
         goes = np.full((len(steps), width), -1, np.int64)
         for s, out in enumerate(steps):
             goes[s, list(out)] = list(out.values())

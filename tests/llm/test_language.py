@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from odd_rows import odd_rows
 
 from aeroseries.llm import langid
@@ -66,3 +67,16 @@ def test_odd_rows(spark, docs, clashing, empty):
     assert langid.identify(empty, model).count() == 0
     nothing = langid.train(empty)
     assert {r["lang_pred"] for r in langid.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_a_repeated_id_gives_one_text(spark):
+    rows = [(1, f"text {i}", "en") for i in range(50)] + [(2, "other words", "en"), (1, "ein text", "de")]
+    got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 200, 2000)
+    assert {k: sorted(v) for k, v in got.items()} == {"en": ["other words", "text 0"], "de": ["ein text"]}
+
+
+def test_a_table_beyond_its_bound_is_refused():
+    many = {f"l{i:03}": [f"{t} l{i}" for t in TEXTS["en"]] for i in range(150)}
+    assert len(langid.fit(many, 50).languages) == 150
+    with pytest.raises(ValueError, match="lower max_symbols"):
+        langid.fit(many, 50, max_entries=100_000)
