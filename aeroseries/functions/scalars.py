@@ -275,8 +275,14 @@ def performance_tier(mae: Column, scale: str = "mae_0_10") -> Column:
     return expr.otherwise(names[-1])
 
 
+def relative_change(mae: Column, best: Column) -> Column:
+    """Percent by which ``mae`` exceeds ``best``; null when ``best`` is 0."""
+    return F.try_divide(mae - best, best) * 100
+
+
 def relative_change_tier(pct: Column) -> Column:
-    """Relative MAE change: < 50 weather carries the signal, < 100 both, else history."""
+    """Relative MAE change: < 50 weather carries the signal, < 100 both, else history
+    (also where the change is null)."""
     return (F.when(pct < 50, "Weather captures most signal").when(pct < 100, "History matters")
             .otherwise("History dominates"))
 

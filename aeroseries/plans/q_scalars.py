@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aeroseries.functions import scalars as S
@@ -151,10 +152,10 @@ def _tier_sql(col, scale):
     "model_predictions", extra=[("models", metrics_sql("model_predictions", ["model"]))]))
 def q_tier(spark, sf_dir):
     m = M.metrics_full(FX.model_predictions(spark, sf_dir), by=("model",))
-    best = m.agg(F.min("mae").alias("best"))
-    m = m.crossJoin(F.broadcast(best))
+    # A window over the rows of the models, one each: the metrics are computed once.
+    m = m.withColumn("best", F.min("mae").over(Window.partitionBy()))
     return m.select("model", "mae", *[S.performance_tier(F.col("mae"), s).alias(f"tier_{s}") for s in S.TIER_SCALES],
-                    S.relative_change_tier((F.col("mae") - F.col("best")) / F.col("best") * 100).alias("relative_tier"))
+                    S.relative_change_tier(S.relative_change(F.col("mae"), F.col("best"))).alias("relative_tier"))
 
 
 # G27, G28, G30 ----------------------------------------------------------------

@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,36 @@ def test_weekly_peak_first_max(spark):
     rows = [(1, i, dt.date(2024, 1, 1 + i), v, v) for i, v in enumerate(vals)]
     w = spark.createDataFrame(rows, "request_id long, pos int, date date, severity_score double, raw_score double")
     assert J.weekly_summary(w).first()["peak_day"] == dt.date(2024, 1, 2)
+
+
+def test_relative_tier_without_error_in_the_best_model(spark):
+    rows = spark.createDataFrame([(0.0, 0.0), (0.4, 0.0), (0.6, 0.5), (0.8, 0.5), (1.5, 0.5), (None, 0.5)], "mae double, best double")
+    out = rows.select(S.relative_change_tier(S.relative_change(F.col("mae"), F.col("best"))).alias("t")).collect()
+    weather, matters, dominates = "Weather captures most signal", "History matters", "History dominates"
+    assert [r["t"] for r in out] == [dominates, dominates, weather, matters, dominates, dominates]
+
+
+def test_performance_tier_where_a_model_has_no_error(spark, tmp_path):
+    """Counts so large that every model predicts the actual top level: the best MAE is 0."""
+    from __spark_entry__ import oracle_sql, queries
+    day = dt.datetime(2024, 1, 1)
+    sf = str(tmp_path)
+    tables = {
+        "customer": ([(1, 7)], "c_custkey long, c_nationkey int"),
+        "nation": ([(7, "N")], "n_nationkey int, n_name string"),
+        "supplier": ([(1, "S", 7)], "s_suppkey long, s_name string, s_nationkey int"),
+        "orders": ([(1, "F", 9e6, day + dt.timedelta(days=i), "1-URGENT") for i in range(20)],
+                   "o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(1, day + dt.timedelta(days=i), 10.0, 1, 0.05, 0.02) for i in range(20)],
+                     "l_suppkey long, l_shipdate timestamp, l_quantity double, l_linenumber int, l_discount double, l_tax double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{sf}/{name}.parquet")
+    got = {r["model"]: (r["mae"], r["relative_tier"]) for r in queries()["performance_tier"](spark, sf).collect()}
+    con = duckdb.connect()
+    for name in tables:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet/*.parquet')")
+    want = con.execute(f"SELECT model, mae, relative_tier FROM ({oracle_sql()['performance_tier']}) q").fetchall()
+    assert got == {m: (mae, tier) for m, mae, tier in want}
+    # The first day has no yesterday: one row of twenty is wrong by ten levels.
+    assert got == {**{f"Rolling Mean {n}": (0.0, "History dominates") for n in (3, 7, 14)}, "Persistence Lag 1": (0.5, "History dominates")}
