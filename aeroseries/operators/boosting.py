@@ -5,7 +5,9 @@ L1 and L2 penalties of leaf values, least gain of a split, least rows of a
 leaf, and early stopping by patience.
 
 The feature columns are binned once (quantile edges from one aggregate) and
-written to the shared folder as one byte a value, with all labels beside them.
+written to the shared folder in blocks of rows, one byte a value, with all
+labels beside them.  A fit takes thousands of short jobs: they read the blocks
+as an RDD, whose jobs have no query to plan.
 A tree grows level by level.  Each level is one Spark job: tasks sum gradients
 and rows by node, column and bin; the sums of one column meet in one group,
 which finds the best split of every node; the driver gets one line for each
@@ -24,24 +26,26 @@ from __future__ import annotations
 
 import json
 import math
+import pickle
 import sys
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.session import drop_tables, scratch_table
+from aeroseries.session import drop_tables, ensure_checkpoint_dir
 
 # Tasks get this module's functions by value and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINS = 64
-SAVE_EVERY = 20
+SAVE_EVERY = 5
 LEAST_GAIN = 1e-6
 #: Sums of all tasks up to this size may meet in the driver.
 DRIVER_BYTES = 16 << 20
@@ -107,25 +111,19 @@ def binned(columns: Sequence[np.ndarray], edges: Sequence[Sequence[float]]) -> n
     return out
 
 
-def _fixed(batch: pa.RecordBatch, name: str, kind, width: int) -> np.ndarray:
-    """A binary column of equal lengths as a matrix."""
-    column = batch.column(batch.schema.get_field_index(name))
-    _, offsets, data = column.buffers()
-    off = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
-    raw = np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None else np.zeros(0, np.uint8)
-    return raw.view(kind).reshape(len(column), width)
-
-
-def _binary(matrix: np.ndarray) -> pa.Array:
-    raw = np.ascontiguousarray(matrix).view(np.uint8).reshape(len(matrix), -1)
-    off = np.arange(len(matrix) + 1, dtype=np.int32) * (raw.shape[1] if len(matrix) else 0)
-    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(raw.tobytes())])
+def _stored(spark: SparkSession, blocks: RDD, name: str) -> tuple[RDD, str]:
+    """``blocks`` written in the shared folder and read again, and their path."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    blocks.saveAsPickleFile(path, 1)
+    return blocks.context.pickleFile(path, 1), path
 
 
 @dataclass(frozen=True)
 class BinnedTable:
-    """Rows of bins, labels (NaN: missing), block and a hash for sampling."""
-    table: DataFrame
+    """Blocks of rows: the part of the table they are from, then arrays of bins, labels (NaN: missing),
+    block, a hash for sampling and, of a fit under way, its predictions so far (else None)."""
+    spark: SparkSession
+    rows: RDD
     path: str
     edges: tuple
     features: tuple
@@ -154,10 +152,12 @@ def bin_table(df: DataFrame, features: Sequence[str], labels: Sequence[str], key
             if batch.num_rows:
                 columns = [batch.column(i).fill_null(math.nan).to_numpy(zero_copy_only=False) for i in range(nf + nl)]
                 y = np.stack(columns[nf:], 1) if nl else np.zeros((batch.num_rows, 0))
-                yield pa.RecordBatch.from_arrays([_binary(binned(columns[:nf], edges)), _binary(y), batch.column(nf + nl), batch.column(nf + nl + 1)], ["bins", "y", "block", "h"])
+                held = binned(columns[:nf], edges), y, batch.column(nf + nl).to_numpy(), batch.column(nf + nl + 1).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(held)], pa.binary())], ["rows"])
 
-    table, path = scratch_table(rows.mapInArrow(pack, "bins binary, y binary, block int, h long"), "binned")
-    return BinnedTable(table, path, tuple(map(tuple, edges)), tuple(features), tuple(labels))
+    packed = rows.mapInArrow(pack, "rows binary").rdd.mapPartitionsWithIndex(lambda i, own: ((i, *pickle.loads(r[0]), None) for r in own))
+    blocks, path = _stored(df.sparkSession, packed, "binned")
+    return BinnedTable(df.sparkSession, blocks, path, tuple(map(tuple, edges)), tuple(features), tuple(labels))
 
 
 def kept_rows(h: np.ndarray, seed: int, n: int, share: float) -> np.ndarray:
@@ -263,33 +263,27 @@ class _Fit:
             self.over |= len(mse) - 1 - int(np.argmin(mse)) >= self.patience
 
 
-def _margins(part: pa.RecordBatch, orders: Sequence[dict], bins: np.ndarray) -> np.ndarray:
-    out = _fixed(part, "margin", np.float64, len(orders)).copy() if "margin" in part.schema.names else np.tile([o["base"] for o in orders], (len(bins), 1))
+def _margins(margin: np.ndarray | None, orders: Sequence[dict], bins: np.ndarray) -> np.ndarray:
+    out = margin.copy() if margin is not None else np.tile([o["base"] for o in orders], (len(bins), 1))
     for m, o in enumerate(orders):
         for arrays in o["pending"]:
             out[:, m] += arrays[4][descend(arrays, bins)]
     return out
 
 
-def _level(rows: DataFrame, tasks: int, orders: dict[int, dict], every: Sequence[dict], widths: tuple[int, int], bins: int) -> list[tuple]:
+def _level(rows: RDD, tasks: int, orders: dict[int, dict], every: Sequence[dict], columns: int, bins: int) -> list[tuple]:
     """One level of several fits: (fit, column, best splits); column -1 has totals and errors.
 
     The tasks' sums meet by column in one more stage.  Where all of them
     together have a bounded size, that stage is left out and the driver adds
-    them up.
+    them up.  Either adds them in the order of the tasks' parts.
     """
-    nf, nl = widths
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(index: int, blocks: Iterator[tuple]) -> Iterator[tuple]:
         hist = {m: (np.zeros((len(o["nodes"]), len(o["columns"]), bins)), np.zeros((len(o["nodes"]), len(o["columns"]), bins))) for m, o in orders.items()}
         whole = {m: np.zeros(5) for m in orders}
-        for part in batches:
-            if not part.num_rows:
-                continue
-            x, y = _fixed(part, "bins", np.uint8, nf), _fixed(part, "y", np.float64, nl)
-            block = part.column(part.schema.get_field_index("block")).to_numpy()
-            h = part.column(part.schema.get_field_index("h")).to_numpy()
-            margin = _margins(part, every, x)
+        part = -1
+        for part, x, y, block, h, saved in blocks:
+            margin = _margins(saved, every, x)
             for m, o in orders.items():
                 error = margin[:, m] - y[:, o["label"]]
                 known, s = ~np.isnan(error), o["s"]
@@ -312,53 +306,38 @@ def _level(rows: DataFrame, tasks: int, orders: dict[int, dict], every: Sequence
                     cell = node + own[:, c]
                     hist[m][0][:, j] += np.bincount(cell, g, size).reshape(-1, bins)
                     hist[m][1][:, j] += np.bincount(cell, minlength=size).reshape(-1, bins)
-        out = [(m, -1, w.tobytes(), b"") for m, w in whole.items()]
-        out += [(m, int(c), hist[m][0][:, j].tobytes(), hist[m][1][:, j].tobytes()) for m, o in orders.items() for j, c in enumerate(o["columns"])]
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["fit", "col", "g", "n"])
-
-    def best(m: int, c: int, g: list[bytes], n: list[bytes]) -> np.ndarray:
-        total = sum(np.frombuffer(b, float) for b in g)
-        return total if c < 0 else best_splits(total.reshape(-1, bins), sum(np.frombuffer(b, float) for b in n).reshape(-1, bins), orders[m]["s"])
-
-    def split(table: pa.Table) -> pa.Table:
-        m, c = table.column("fit")[0].as_py(), table.column("col")[0].as_py()
-        found = best(m, c, table.column("g").to_pylist(), table.column("n").to_pylist())
-        return pa.table({"fit": pa.array([m], pa.int32()), "col": pa.array([c], pa.int32()), "best": pa.array([found.astype(float).tobytes()], pa.binary())})
-
-    partial = rows.mapInArrow(sums, "fit int, col int, g binary, n binary")
+        # The fit and the column as one number.
+        for m, w in whole.items():
+            yield m * (columns + 1), (part, index, w, None)
+        for m, o in orders.items():
+            for j, c in enumerate(o["columns"]):
+                yield m * (columns + 1) + int(c) + 1, (part, index, hist[m][0][:, j].copy(), hist[m][1][:, j].copy())
+
+    def best(found: tuple[int, Sequence[tuple]]) -> tuple:
+        m, c = divmod(found[0], columns + 1)
+        parts = sorted(found[1], key=lambda p: p[:2])
+        total = sum(p[2] for p in parts)
+        return m, c - 1, best_splits(total, sum(p[3] for p in parts), orders[m]["s"]) if c else total
+
+    partial = rows.mapPartitionsWithIndex(sums)
+    keys = sum(1 + len(o["columns"]) for o in orders.values())
     if tasks * sum(len(o["nodes"]) * len(o["columns"]) for o in orders.values()) * bins * 16 > DRIVER_BYTES:
-        return [(r["fit"], r["col"], np.frombuffer(r["best"], float)) for r in partial.groupBy("fit", "col").applyInArrow(split, "fit int, col int, best binary").collect()]
-    parts: dict[tuple, tuple] = {}
-    for r in partial.collect():
-        g, n = parts.setdefault((r["fit"], r["col"]), ([], []))
-        g.append(r["g"])
-        n.append(r["n"])
-    return [(m, c, best(m, c, g, n)) for (m, c), (g, n) in parts.items()]
-
+        return partial.groupByKey(min(keys, rows.context.defaultParallelism), lambda key: key).map(best).collect()
+    parts: dict[int, list] = {}
+    for key, own in partial.collect():
+        parts.setdefault(key, []).append(own)
+    return [best(found) for found in parts.items()]
 
-def _with_margins(rows: DataFrame, orders: Sequence[dict], widths: tuple[int, int]) -> tuple[DataFrame, str]:
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            if part.num_rows:
-                margin = _margins(part, orders, _fixed(part, "bins", np.uint8, widths[0]))
-                names = ["bins", "y", "block", "h"]
-                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in names], _binary(margin)], [*names, "margin"])
 
-    return scratch_table(rows.mapInArrow(add, "bins binary, y binary, block int, h long, margin binary"), "margins")
+def _with_margins(spark: SparkSession, rows: RDD, orders: Sequence[dict]) -> tuple[RDD, str]:
+    return _stored(spark, rows.map(lambda own: (*own[:5], _margins(own[5], orders, own[1]))), "margins")
 
 
 def boost(data: BinnedTable, tasks: Sequence[Task], patience: int | None = None) -> list[BoostedModel]:
     """All ``tasks`` in the same jobs; with ``patience`` each ends, and is cut, by its validation error."""
-    widths, columns = (len(data.features), len(data.labels)), len(data.features)
+    columns = len(data.features)
     bins = max([3, *(len(e) + 2 for e in data.edges)])
-    rows, path = data.table, None
-    counts: dict[int, int] = {}
-
-    def tasks_of(rows: DataFrame) -> int:
-        if id(rows) not in counts:
-            counts.clear()
-            counts[id(rows)] = rows.rdd.getNumPartitions()
-        return counts[id(rows)]
+    rows, path, parts = data.rows, None, data.rows.getNumPartitions()
 
     bases = _means(data, tasks)
     fits = [_Fit(t, bases[i], columns, patience) for i, t in enumerate(tasks)]
@@ -371,10 +350,10 @@ def boost(data: BinnedTable, tasks: Sequence[Task], patience: int | None = None)
             every = [{"base": f.base, "pending": [t.arrays() for t in f.trees[f.saved:]]} for f in fits]
             orders = {m: f.order() for m, f in enumerate(fits) if f.tree is not None}
             got: dict[int, dict] = {m: {} for m in orders}
-            for m, c, best in _level(rows, tasks_of(rows), orders, every, widths, bins):
-                got[m][c] = best if c < 0 else best.reshape(-1, 4)
+            for m, c, best in _level(rows, parts, orders, every, columns, bins):
+                got[m][c] = best
             for m, found in got.items():
-                f, whole = fits[m], found.pop(-1)
+                f, whole = fits[m], found.pop(-1, np.zeros(5))
                 if f.level == 0:
                     f.judged(*whole[2:])
                     if f.over:
@@ -383,13 +362,14 @@ def boost(data: BinnedTable, tasks: Sequence[Task], patience: int | None = None)
                 f.step(whole[:2] if f.level == 0 else None, found)
         if max(len(f.trees) - f.saved for f in fits) >= SAVE_EVERY and not all(f.over for f in fits):
             old = path
-            rows, path = _with_margins(rows, [{"base": f.base, "pending": [t.arrays() for t in f.trees[f.saved:]]} for f in fits], widths)
+            rows, path = _with_margins(data.spark, rows, [{"base": f.base, "pending": [t.arrays() for t in f.trees[f.saved:]]} for f in fits])
+            parts = rows.getNumPartitions()
             for f in fits:
                 f.saved = len(f.trees)
             if old:
-                drop_tables(rows.sparkSession, old)
+                drop_tables(data.spark, old)
     if path:
-        drop_tables(rows.sparkSession, path)
+        drop_tables(data.spark, path)
     return [BoostedModel(data.features, data.edges, f.base, _cut(f), tuple(f.errors), t) for f, t in zip(fits, tasks)]
 
 
@@ -403,24 +383,21 @@ def _means(data: BinnedTable, tasks: Sequence[Task]) -> list[float]:
     """Each task's starting value: given, or the mean label of its training rows."""
     if all(t.settings.base is not None for t in tasks):
         return [t.settings.base for t in tasks]
-    nl = len(data.labels)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(index: int, blocks: Iterator[tuple]) -> Iterator[tuple]:
         held: dict[int, np.ndarray] = {}
-        for part in batches:
-            y, block = _fixed(part, "y", np.float64, nl), part.column(part.schema.get_field_index("block")).to_numpy()
+        part = -1
+        for part, _, y, block, _, _ in blocks:
             for b in np.unique(block):
                 own = y[block == b]
                 held[int(b)] = held.get(int(b), 0) + np.stack([np.nansum(own, 0), (~np.isnan(own)).sum(0)])
-        for b, v in held.items():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([b] * nl, pa.int32()), "label": pa.array(range(nl), pa.int32()), "s": pa.array(v[0], pa.float64()), "n": pa.array(v[1], pa.float64())})
+        yield part, index, held
 
-    sums = data.table.select("y", "block").mapInArrow(add, "block int, label int, s double, n double").groupBy("block", "label").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
+    sums = sorted(data.rows.mapPartitionsWithIndex(add).collect(), key=lambda p: p[:2])
     out = []
     for t in tasks:
-        own = [r for r in sums if r["label"] == t.label and r["block"] <= t.upto]
-        n = sum(r["n"] for r in own)
-        out.append(t.settings.base if t.settings.base is not None else sum(r["s"] for r in own) / n if n else 0.0)
+        own = [v[:, t.label] for _, _, held in sums for b, v in held.items() if b <= t.upto]
+        total, n = sum(own) if own else (0.0, 0.0)
+        out.append(t.settings.base if t.settings.base is not None else float(total / n) if n else 0.0)
     return out
 
 

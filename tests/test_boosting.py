@@ -146,3 +146,14 @@ def test_empty_folds_and_labels(spark):
     assert FS.linear_folds(df, ["a"], "y", {"s": 1.0}) == [("s", f, None) for f in range(5)]
     m = B.boost(B.bin_table(df, ["a"], ["y"], ["id"]), [B.Task(0, B.Settings(rounds=2))])[0]
     assert m.transform(spark.createDataFrame([(1, 2.0)], "id long, a double")).first()["prediction"] == 0.0
+
+
+def test_levels_plan_no_query(spark, monkeypatch):
+    """A fit has a job a level, thousands in all: none of them may be a query of its own."""
+    x, y, z = data(200)
+    binned = B.bin_table(frame(spark, x, y, z), ["a", "b", "c"], ["y"], ["id"])
+    asked = []
+    whole = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: asked.append(df) or whole(df))
+    m = B.boost(binned, [B.Task(0, B.Settings(rounds=2, depth=3))])[0]
+    assert len(m.trees) == 2 and max(len(t.column) for t in m.trees) > 3 and not asked
