@@ -132,17 +132,18 @@ class BinnedTable:
 
 def quantile_edges(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
     """At most ``bins`` - 2 cut values a column, from one aggregate."""
-    probs = [i / (bins - 1) for i in range(1, bins - 1)]
-    row = df.agg(*[F.percentile_approx(F.col(f).cast("double"), F.array(*map(F.lit, probs)), 10_000).alias(f"q{i}") for i, f in enumerate(features)]).first()
+    probs = F.array(*[F.lit(i / (bins - 1)) for i in range(1, bins - 1)])
+    row = df.agg(*[F.percentile_approx(F.col(f).cast("double"), probs, 10_000).alias(f"q{i}") for i, f in enumerate(features)]).first()
     return [sorted(set(q or [])) for q in row]
 
 
-def bin_table(df: DataFrame, features: Sequence[str], labels: Sequence[str], keys: Sequence[str] = ("site_id", "date"), block: str | None = None, bins: int = BINS) -> BinnedTable:
-    """Bin ``features`` once for any number of fits; rows are sampled by a hash of ``keys``."""
+def bin_table(df: DataFrame, features: Sequence[str], labels: Sequence[str], keys: Sequence[str] = ("site_id", "date"), block: str | None = None, bins: int = BINS,
+              edges: Sequence[Sequence[float]] | None = None) -> BinnedTable:
+    """Bin ``features`` once for any number of fits, by ``edges`` of these columns or their quantiles; rows are sampled by a hash of ``keys``."""
     if not 2 < bins <= 256:
         raise ValueError("bins are bytes")
     features, labels = list(dict.fromkeys(features)), list(labels)
-    edges = quantile_edges(df, features, bins)
+    edges = quantile_edges(df, features, bins) if edges is None else edges
     nf, nl = len(features), len(labels)
     rows = df.select(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)], *[F.col(y).cast("double").alias(f"y{i}") for i, y in enumerate(labels)],
                      (F.col(block).cast("int") if block else F.lit(0)).alias("block"), F.xxhash64(*keys).alias("h"))

@@ -1,7 +1,7 @@
 """Model fitting and selection.
 
 Forests, ridge and linear models are Spark ML; boosted trees are ``boosting``,
-linear folds ``foldstats``.
+linear folds ``foldstats``, forests of a cross-validated choice ``forest``.
 
 Every fit is a distributed Spark ML job over the feature frame; the driver only
 starts the (model, fold) fits, a few at a time, and keeps small metric rows.
@@ -25,8 +25,9 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.operators.boosting import ALL_BLOCKS, BoostedModel, Settings, Task, bin_table, boost
+from aeroseries.operators.boosting import ALL_BLOCKS, BoostedModel, Settings, Task, bin_table, boost, quantile_edges
 from aeroseries.operators.foldstats import linear_folds
+from aeroseries.operators.forest import BINS as FOREST_BINS, Forest, fit_forest, forest_error
 from aeroseries.operators.metrics import metrics_full
 from aeroseries.session import drop_tables
 
@@ -118,9 +119,28 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, preset: str
 
 
 # I8 ---------------------------------------------------------------------------
-def fit_spec(df: DataFrame, features: Sequence[str], label: str, spec: tuple[str, dict]) -> PipelineModel:
+def _own_forest(spec: tuple[str, dict]) -> bool:
+    """Whether ``forest`` has all parameters of a spec; with others it is Spark's."""
+    return spec[0] == "rf" and set(spec[1]) <= {"numTrees", "maxDepth", "minInstancesPerNode", "bootstrap", "seed"}
+
+
+def forest_fold(blocks: DataFrame, features: Sequence[str], label: str, params: dict, f: int) -> float | None:
+    """MAE of fold ``f``'s forest; as in a fit by itself, only its training rows say where columns are cut."""
+    train = blocks.filter(F.col("block") <= f)
+    data = bin_table(blocks.filter(F.col("block") <= f + 1), features, [label], (*features, label), "block", FOREST_BINS, quantile_edges(train, list(dict.fromkeys(features)), FOREST_BINS))
+    mae = forest_error(data, Forest(**params, upto=f))
+    drop_tables(blocks.sparkSession, data.path)
+    return mae
+
+
+def fit_spec(df: DataFrame, features: Sequence[str], label: str, spec: tuple[str, dict]) -> PipelineModel | BoostedModel:
     """Fit a (kind, parameters) pair; ridge takes ``alpha``, scaled to these rows."""
     kind, params = spec
+    if _own_forest(spec):
+        data = bin_table(df, features, [label], (*features, label), None, FOREST_BINS)
+        m = fit_forest(data, Forest(**params))
+        drop_tables(df.sparkSession, data.path)
+        return m
     if kind == "ridge" and "alpha" in params:
         return fit_ridge(df, features, label, params["alpha"])
     return pipeline(features, label, kind, **params).fit(df)
@@ -133,6 +153,8 @@ def cross_validate(blocks: DataFrame, features: Sequence[str], label: str,
     time.  Returns a small table (spec, fold, mae)."""
     def one(task: tuple[str, int]) -> tuple:
         name, f = task
+        if _own_forest(specs[name]):
+            return name, f, forest_fold(blocks, features, label, specs[name][1], f)
         m = fit_spec(blocks.filter(F.col("block") <= f), features, label, specs[name])
         mae = (m.transform(blocks.filter(F.col("block") == f + 1))
                .agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")).first()["mae"])
@@ -141,14 +163,14 @@ def cross_validate(blocks: DataFrame, features: Sequence[str], label: str,
     alphas = {n: float(p["alpha"]) if k == "ridge" else 0.0 for n, (k, p) in specs.items()
               if k == "ridge" and set(p) == {"alpha"} or k == "linear" and not any(p.values())}
     rows = linear_folds(blocks, features, label, alphas, n_splits) if alphas else []
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows += list(pool.map(one, [(name, f) for name in specs if name not in alphas for f in range(n_splits)]))
+    with ThreadPoolExecutor(parallelism) as pool:  # the longest fits first
+        rows += list(pool.map(one, [(name, f) for f in reversed(range(n_splits)) for name in specs if name not in alphas]))
     return blocks.sparkSession.createDataFrame(rows, "spec string, fold int, mae double")
 
 
 def select_by_cv(train: DataFrame, blocks: DataFrame, features: Sequence[str], label: str,
                  specs: dict[str, tuple[str, dict]] = CV_CANDIDATES, n_splits: int = 5,
-                 parallelism: int = 4) -> tuple[str, PipelineModel, DataFrame]:
+                 parallelism: int = 4) -> tuple[str, PipelineModel | BoostedModel, DataFrame]:
     """Mean and std of fold MAE per spec; the lowest mean wins and is refit on
     all training rows."""
     cv = cross_validate(blocks, features, label, specs, n_splits, parallelism)
