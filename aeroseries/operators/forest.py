@@ -17,7 +17,10 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import RDD, cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from aeroseries.operators.boosting import ALL_BLOCKS, BinnedTable, BoostedModel, Tree, _stored, descend
 from aeroseries.session import drop_tables
@@ -46,6 +49,44 @@ class Forest:
     upto: int = ALL_BLOCKS
 
 
+def cut_values(values: np.ndarray, counts: np.ndarray, most: int = BINS - 2) -> list[float]:
+    """Where Spark's forest cuts a column of these different values in order: between any two if they are few, else
+    where their running count passes the next of ``most`` + 1 equal shares."""
+    middle = (values[:-1] + values[1:]) / 2
+    if len(middle) <= most:
+        return middle.tolist()
+    out, total = [], np.cumsum(counts)
+    stride = total[-1] / (most + 1)
+    target = stride
+    for i in range(1, len(values)):
+        if abs(total[i - 1] - target) < abs(total[i] - target):
+            out.append(float(middle[i - 1]))
+            target += stride
+    return out[:most]
+
+
+def forest_edges(df: DataFrame, features: Sequence[str], most: int = BINS - 2) -> list[list[float]]:
+    """``cut_values`` of every column: of all its values where they are few, else of 255 quantiles."""
+    features = list(dict.fromkeys(features))
+    probs = F.array(*[F.lit(i / 256) for i in range(1, 256)])
+    columns = [F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)]
+    rows = df.select(*columns)
+    row = rows.agg(*[F.percentile_approx(c, probs, 10_000).alias(c) for c in rows.columns]).first()
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0)] * len(features)
+        for batch in batches:
+            for i, own in enumerate(held):
+                if own.size <= most + 1:
+                    x = batch.column(i).fill_null(math.nan).to_numpy(zero_copy_only=False)
+                    held[i] = np.union1d(own, x[~np.isnan(x)])[:most + 2]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(held)), [v.size for v in held]), pa.int32()), pa.array(np.concatenate(held), pa.float64())], ["column", "value"])
+
+    found = rows.mapInArrow(few, "column int, value double").groupBy("column").agg(F.slice(F.array_sort(F.collect_set("value")), 1, most + 2).alias("own"))
+    whole = {r["column"]: r["own"] for r in found.collect() if len(r["own"]) <= most + 1}
+    return [cut_values(*np.unique(whole.get(i, q or []), return_counts=True), most) for i, q in enumerate(row)]
+
+
 def drawn(h: np.ndarray, f: Forest, tree: int) -> np.ndarray:
     """How often a tree's sample holds each row, about Poisson(1): the same on every attempt of a task."""
     if not f.bootstrap:

@@ -25,9 +25,9 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroseries.operators.boosting import ALL_BLOCKS, BoostedModel, Settings, Task, bin_table, boost, quantile_edges
+from aeroseries.operators.boosting import ALL_BLOCKS, BoostedModel, Settings, Task, bin_table, boost
 from aeroseries.operators.foldstats import linear_folds
-from aeroseries.operators.forest import BINS as FOREST_BINS, Forest, fit_forest, forest_error
+from aeroseries.operators.forest import BINS as FOREST_BINS, Forest, fit_forest, forest_edges, forest_error
 from aeroseries.operators.metrics import metrics_full
 from aeroseries.session import drop_tables
 
@@ -127,7 +127,7 @@ def _own_forest(spec: tuple[str, dict]) -> bool:
 def forest_fold(blocks: DataFrame, features: Sequence[str], label: str, params: dict, f: int) -> float | None:
     """MAE of fold ``f``'s forest; as in a fit by itself, only its training rows say where columns are cut."""
     train = blocks.filter(F.col("block") <= f)
-    data = bin_table(blocks.filter(F.col("block") <= f + 1), features, [label], (*features, label), "block", FOREST_BINS, quantile_edges(train, list(dict.fromkeys(features)), FOREST_BINS))
+    data = bin_table(blocks.filter(F.col("block") <= f + 1), features, [label], (*features, label), "block", FOREST_BINS, forest_edges(train, features))
     mae = forest_error(data, Forest(**params, upto=f))
     drop_tables(blocks.sparkSession, data.path)
     return mae
@@ -137,7 +137,7 @@ def fit_spec(df: DataFrame, features: Sequence[str], label: str, spec: tuple[str
     """Fit a (kind, parameters) pair; ridge takes ``alpha``, scaled to these rows."""
     kind, params = spec
     if _own_forest(spec):
-        data = bin_table(df, features, [label], (*features, label), None, FOREST_BINS)
+        data = bin_table(df, features, [label], (*features, label), None, FOREST_BINS, forest_edges(df, features))
         m = fit_forest(data, Forest(**params))
         drop_tables(df.sparkSession, data.path)
         return m

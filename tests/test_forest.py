@@ -103,3 +103,12 @@ def test_choice_grows_its_forests_here_and_near_sparks(spark):
         assert got[f] == pytest.approx(mae, rel=0.05)
     best, model, _ = ML.select_by_cv(df, df, COLS, "y", {"rf": spec}, 3)
     assert best == "rf" and isinstance(model, B.BoostedModel) and len(model.trees) == 30
+
+
+def test_cuts_are_sparks(spark):
+    """Few values are all told apart, rare ones too; of many, a common one costs no cuts of the others."""
+    rows = spark.range(4000).selectExpr("id", "if(id = 7, 9.0, id % 2) AS few", "if(id % 10 < 8, 0.0, cast(id AS double)) AS many", "cast(id AS double) AS even")
+    few, many, even = FO.forest_edges(rows.repartition(3), ["few", "many", "even"])
+    assert few == [0.5, 5.0]
+    assert len(many) == 31 and 0 < many[0] < 100
+    assert np.allclose(even, [4000 * i / 32 for i in range(1, 32)], atol=20)
