@@ -161,10 +161,27 @@ METRIC_ALIASES = {
 }
 
 
+#: Metrics that every reading of documents has, null where no document holds them: a JSON writer leaves nulls out.
+METRICS = ("mae", "rmse", "r2", "acc_within_1", "acc_within_2")
+
+
+def _metric_columns(have: set[str]) -> list:
+    """One column a metric: the first truthy of its aliases among the columns ``have``."""
+    cols = []
+    for out, aliases in METRIC_ALIASES.items():
+        present = [F.col(a).cast("double") for a in aliases if a in have]
+        if present:
+            cols.append(first_truthy(*present).alias(out))
+        elif out in METRICS:
+            cols.append(F.lit(None).cast("double").alias(out))
+    return cols
+
+
 def read_metrics(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:
     """Read metric documents (multi-line JSON allowed), name each by its file
     or folder, take the first truthy alias of every metric (0 counts as
-    missing) and drop documents without MAE or R2."""
+    missing) and drop documents without MAE or R2, also where no document has
+    one of them."""
     raw = spark.read.option("multiLine", True).json(path)
     have = set(raw.columns)
     if "doc" in have:
@@ -174,12 +191,7 @@ def read_metrics(spark: SparkSession, path: str, names: dict[str, str] | None =
     if names:
         m = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
         name = F.coalesce(F.element_at(m, name), name)
-    cols = [name.alias("model")]
-    for out, aliases in METRIC_ALIASES.items():
-        present = [F.col(a).cast("double") for a in aliases if a in have]
-        if present:
-            cols.append(first_truthy(*present).alias(out))
-    norm = raw.select(*cols)
+    norm = raw.select(name.alias("model"), *_metric_columns(have))
     return norm.filter(F.col("mae").isNotNull() & F.col("r2").isNotNull())
 
 

@@ -2,8 +2,13 @@
 
 import json
 
+from pyspark.sql import functions as F
+
+from aeroseries.operators.metrics import metrics_full
 from aeroseries.sources import io as IO
 
+COLUMNS = ["model", "mae", "rmse", "r2", "acc_within_1"]
+
 
 def test_read_metrics_aliases_and_multitype(spark, tmp_path):
     docs = tmp_path / "docs"
@@ -30,3 +35,12 @@ def test_missing_path_fails(spark, tmp_path):
     except FileNotFoundError:
         return
     raise AssertionError("expected FileNotFoundError")
+
+
+def test_documents_without_r2_read_as_none(spark, tmp_path):
+    """Where every actual value is the same no model has an R2, and the writer leaves nulls out."""
+    rows = spark.createDataFrame([(m, 10.0, 9.0 + i) for m in ("Rolling Mean 3", "Persistence Lag 1") for i in range(3)], "model string, actual double, predicted double")
+    path = str(tmp_path / "constant")
+    IO.write_metric_documents(metrics_full(rows, by=("model",)).withColumn("style", F.when(F.col("model").startswith("Rolling"), "plain").otherwise("test")), path)
+    read = IO.read_metrics(spark, path).select(*COLUMNS)
+    assert read.collect() == [] and dict(read.dtypes)["r2"] == "double"
