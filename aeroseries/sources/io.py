@@ -209,15 +209,10 @@ def read_multitype_metrics(spark: SparkSession, path: str, model: str,
     is comparable with single-target models."""
     raw = spark.read.option("multiLine", True).json(path)
     if pollen_type not in raw.columns:
-        return spark.createDataFrame([], "model string, mae double, r2 double")
+        return spark.createDataFrame([], "model string, " + ", ".join(f"{c} double" for c in METRICS))
     inner = raw.select(F.col(f"{pollen_type}.*"))
     have = set(inner.columns)
-    cols = [F.lit(model).alias("model")]
-    for out, aliases in METRIC_ALIASES.items():
-        present = [F.col(a).cast("double") for a in aliases if a in have]
-        if present:
-            cols.append(first_truthy(*present).alias(out))
-    return inner.select(*cols).filter(F.col("mae").isNotNull() & F.col("r2").isNotNull())
+    return inner.select(F.lit(model).alias("model"), *_metric_columns(have)).filter(F.col("mae").isNotNull() & F.col("r2").isNotNull())
 
 
 # A8 ---------------------------------------------------------------------------

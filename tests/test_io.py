@@ -44,3 +44,15 @@ def test_documents_without_r2_read_as_none(spark, tmp_path):
     IO.write_metric_documents(metrics_full(rows, by=("model",)).withColumn("style", F.when(F.col("model").startswith("Rolling"), "plain").otherwise("test")), path)
     read = IO.read_metrics(spark, path).select(*COLUMNS)
     assert read.collect() == [] and dict(read.dtypes)["r2"] == "double"
+
+
+def test_types_without_r2_read_as_none(spark, tmp_path):
+    """A type whose actual values are all the same has no R2; one without any pair of values has no document."""
+    rows = [("Tree", 1.0 + i, 2.5) for i in range(3)] + [("Total_Pollen", 10.0, 9.0 + i) for i in range(3)]
+    for name, kept in (("constant", rows), ("absent", rows[:3])):
+        frame = spark.createDataFrame(kept, "pollen_type string, actual double, predicted double")
+        path = str(tmp_path / name)
+        IO.write_multitype_metrics(metrics_full(frame, by=("pollen_type",)), path)
+        assert IO.read_multitype_metrics(spark, path, "Multi-type").select(*COLUMNS, "acc_within_2").collect() == []
+    tree = IO.read_multitype_metrics(spark, path, "Multi-type", "Tree").select(*COLUMNS).collect()
+    assert [r["model"] for r in tree] == ["Multi-type"] and tree[0]["r2"] is not None
